@@ -20,3 +20,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op2_quality_rules": op2_quality_rules}
 
 ORACLE_SQL: dict[str, str] = {}
+
+
+def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.simhash import hexed, near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", hexed("fp").alias("fingerprint"), "component_id")
+
+
+QUERIES["op6_simhash_near_dedup"] = op6_simhash_near_dedup
