@@ -29,3 +29,13 @@ def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op6_simhash_near_dedup"] = op6_simhash_near_dedup
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.toxicity import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES["op4_toxicity"] = op4_toxicity
