@@ -39,3 +39,26 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_toxicity"] = op4_toxicity
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizers lie; any other path will do."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.tokens import load_vocabulary, token_counts
+
+    return token_counts(table(spark, sf_dir, "documents"), load_vocabulary(tokenizer_path("piece_bpe_32k.model")))
+
+
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.bpe import encode_decode
+
+    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+QUERIES["op1_token_counts"] = op1_token_counts
+QUERIES["op10_bpe"] = op10_bpe
