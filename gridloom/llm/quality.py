@@ -28,6 +28,7 @@ COMMON = {
     "es": ("de", "la", "que", "el", "en", "y", "a", "los", "se", "del", "las", "un"),
     "fr": ("de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "pour"),
 }
+MARKS = ".,;:!?"
 CLASSES = ("lower", "upper", "digit", "space", "punct", "other")
 
 
@@ -51,11 +52,10 @@ def base_counts(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, keep, text, words, and the base columns of every whole text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     one = docs.select("doc_id", *keep, text.alias("text"))
-    two = one.withColumn("words", F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)))
-    grams = F.when(
-        F.size("words") >= 3,
-        F.transform(F.slice("words", 1, F.size("words") - 2), lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2))),
-    ).otherwise(F.array().cast("array<bigint>"))
+    two = one.withColumn("words", F.array_remove(F.split("text", SPACE), ""))
+    rest = lambda at: F.slice("words", at, F.greatest(F.size("words"), F.lit(1)))
+    triples = F.arrays_zip(F.col("words").alias("a"), rest(2).alias("b"), rest(3).alias("c"))
+    grams = F.transform(F.slice(triples, 1, F.greatest(F.size("words") - 2, F.lit(0))), lambda z: F.xxhash64(z))
     three = two.withColumn("grams", grams).withColumn("lines", F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)))
     # Windows found again: sort (hash, place), keep those equal to a neighbour. Most texts have none and skip the sort.
     placed = F.when(F.size(F.array_distinct("grams")) < F.size("grams"), F.sort_array(F.transform("grams", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
@@ -84,6 +84,8 @@ def vocabulary(params: QualityParams) -> list[str]:
 def histograms(counted: DataFrame, params: QualityParams) -> DataFrame:
     """Adds classes and common: counts by character class, and by common word with the rest last."""
     known = vocabulary(params)
+    # A common word counts in lower case or capitalised, bare or with one mark behind it.
+    forms = [w + mark for k in known for w in (k, k.capitalize()) for mark in ("", *MARKS)]
     left = lambda keep: F.length(F.regexp_replace("text", f"[^{keep}]+", "")).cast("bigint")
     one = (
         counted.withColumn("u", left(r"\p{Lu}"))
@@ -91,10 +93,14 @@ def histograms(counted: DataFrame, params: QualityParams) -> DataFrame:
         .withColumn("p", left(r".,;:!?'\"()\-"))
         .withColumn("l", F.col("word_chars") - F.length(F.regexp_replace("text", r"[\p{Ll}\x20\x09-\x0D]+", "")))
         .withColumn("s", F.length("text") - F.col("word_chars"))
-        .withColumn("hits", F.filter(F.transform("words", lambda w: F.lower(F.rtrim(w, F.lit(".,;:!?")))), lambda w: w.isin(known)))
+        .withColumn("hits", F.transform(F.filter("words", lambda w: w.isin(forms)), lambda w: F.lower(F.rtrim(w, F.lit(MARKS)))))
     )
     return one.withColumn("classes", F.array("l", "u", "d", "s", "p", F.col("word_chars") - F.col("l") - F.col("u") - F.col("d") - F.col("p"))).withColumn(
-        "common", F.array(*[(F.size("hits") - F.size(F.array_remove("hits", w))).cast("bigint") for w in known], F.col("n_words") - F.size("hits"))
+        "common",
+        F.concat(
+            F.transform(F.array(*[F.lit(w) for w in known]), lambda k: (F.size("hits") - F.size(F.array_remove(F.col("hits"), k))).cast("bigint")),
+            F.array(F.col("n_words") - F.size("hits")),
+        ),
     )
 
 
