@@ -91,11 +91,20 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES |= {"op3_url_filters": op3_url_filters, "op8_sharding": op8_sharding, "op9_packing": op9_packing}
 ORACLE_SQL["op3_url_filters"] = r"""
-WITH at AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
-parts AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS tail FROM at),
+WITH cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw, substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1) AS tail FROM cut),
 urls AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(tail, '^[^?#]*') AS path FROM parts),
 rules(verdict, h, p) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
 fits AS (SELECT page_id, max_by(h || p, length(h || p)) AS rule, max_by(verdict, length(h || p)) AS verdict
          FROM urls JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id)
 SELECT u.page_id, u.host, u.path, f.rule, coalesce(f.verdict, 'allow') AS verdict FROM urls u LEFT JOIN fits f USING (page_id)
 """
+
+
+def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.winnow import fingerprint_documents
+
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op5_document_fingerprints"] = op5_document_fingerprints
