@@ -25,11 +25,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+def materialize(df: DataFrame, tag: str, compression: str = "snappy", by: str | None = None) -> DataFrame:
     """Write df once to the shared folder and read it back: this cuts the lineage, and lost executors do not lose it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.option("compression", compression)
+    (writer.partitionBy(by) if by else writer).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._gridloom_path = path
     return out
