@@ -108,3 +108,12 @@ def op5_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_document_fingerprints"] = op5_document_fingerprints
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from gridloom.llm.substrings import repeat_report
+
+    return repeat_report(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op7_substring_dedup"] = op7_substring_dedup
