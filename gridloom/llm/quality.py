@@ -29,6 +29,7 @@ COMMON = {
     "fr": ("de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "pour"),
 }
 MARKS = ".,;:!?"
+BASE = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 CLASSES = ("lower", "upper", "digit", "space", "punct", "other")
 
 
@@ -128,15 +129,9 @@ def distance(counts: Column, total: Column, reference: list[int]) -> Column:
     return F.when(total > 0, F.sqrt(F.greatest(spread, F.lit(0.0))))
 
 
-def quality_rules(docs: DataFrame, params: QualityParams = QualityParams(), lang: str = "lang") -> DataFrame:
-    """doc_id, the base columns, class_distance and word_distance to the nearest language, and kept."""
-    if lang in docs.columns:
-        docs = docs.select("doc_id", "text", F.col(lang).alias("lang"))
-    else:
-        docs = docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
-    base = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    features = materialize(histograms(base_counts(docs, ("lang",)), params).select("lang", *base, "classes", "common"), "quality")
-    references = fit_references(features, params)
+def verdicts(features: DataFrame, references: list[tuple[str, list[int], list[int]]], params: QualityParams, keep: tuple[str, ...] = ()) -> DataFrame:
+    """keep, the base columns, the distances to the nearest language, and kept."""
+    base = [*keep, *BASE]
     size = F.aggregate("classes", F.lit(0).cast("bigint"), lambda a, x: a + x)
     pairs = [(distance(F.col("classes"), size, c), distance(F.col("common"), F.col("n_words"), w)) for _, c, w in references]
     if not pairs:
@@ -152,3 +147,26 @@ def quality_rules(docs: DataFrame, params: QualityParams = QualityParams(), lang
     return judged.select(
         *base, F.col("near.c").alias("class_distance"), F.col("near.w").alias("word_distance"), (~F.col("base_failed") & (F.col("near.far") <= 1.0)).alias("kept")
     )
+
+
+def quality_rules(docs: DataFrame, params: QualityParams = QualityParams(), lang: str = "lang") -> DataFrame:
+    """doc_id, the base columns, class_distance and word_distance to the nearest language, and kept."""
+    if lang in docs.columns:
+        docs = docs.select("doc_id", "text", F.col(lang).alias("lang"))
+    else:
+        docs = docs.select("doc_id", "text", F.lit(None).cast("string").alias("lang"))
+    features = materialize(histograms(base_counts(docs, ("lang",)), params).select("lang", *BASE, "classes", "common"), "quality")
+    references = fit_references(features, params)
+    return verdicts(features, references, params)
+
+
+def keep_good(docs: DataFrame, params: QualityParams = QualityParams(), lang: str = "lang") -> DataFrame:
+    """The rows of docs, with all columns, that the rules keep.
+
+    Rows and histograms are written once to the shared folder: references need a pass over all of them before a row can
+    be judged, and the histograms cost more than the copy. No text is shuffled.
+    """
+    names = docs.columns
+    rows = docs.select(F.struct(*names).alias("_row"), "doc_id", "text", (F.col(lang) if lang in names else F.lit(None).cast("string")).alias("lang"))
+    features = materialize(histograms(base_counts(rows, ("lang", "_row")), params).select("_row", "lang", *BASE, "classes", "common"), "quality-rows")
+    return verdicts(features, fit_references(features, params), params, ("_row",)).filter("kept").select("_row.*")

@@ -127,3 +127,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_block: int = 64) -> D
 
 def hexed(fp: str) -> Column:
     return F.lower(F.lpad(F.hex(F.col(fp)), 16, "0"))
+
+
+def keep_first(docs: DataFrame, shingle: int = 3, max_block: int = 64) -> DataFrame:
+    """docs without the documents whose group has a smaller doc_id. Only ids and fingerprints are shuffled by group."""
+    classes = near_duplicates(docs, shingle, max_block)
+    later = classes.filter("doc_id > component_id").select("doc_id").distinct()
+    return docs.join(later, "doc_id", "left_anti")

@@ -257,3 +257,16 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found), label], names=["doc_id", "held_out", "score", "predicted"])
 
     return docs.select("doc_id", (fold() == 1).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+
+
+def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows of docs, with all columns, whose score stays below the threshold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = model.scores([t.as_py() or "" for t in part.column(part.schema.names.index("text"))])
+                yield part.filter(pa.array(found < model.params.threshold))
+
+    return docs.mapInArrow(run, docs.schema)
