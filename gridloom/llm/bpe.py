@@ -14,6 +14,7 @@ one list of words at a time. Empty table: empty result. Extra columns are droppe
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Words that a worker remembers; beyond it the memory starts anew, which changes no result.
-REMEMBER = 250_000
+REMEMBER = 400_000
 #: Characters of text whose words are looked up together.
 TOGETHER = 1 << 20
 LATIN = 0x250
@@ -80,7 +81,16 @@ class WordBpe:
             self.order[left, right] = n
             if whole not in self.rank:
                 self.halves[whole], self.rank[whole] = (left, right), n
-        self.longest = max(len(t.removesuffix(self.end)) for t in self.ids)
+        # Lengths over 2 of the tokens with given last three symbols, longest first; for a word's end and elsewhere.
+        self.lengths: dict[str, list[int]] = {}
+        self.end_lengths: dict[str, list[int]] = {}
+        for token in self.ids:
+            ends = bool(self.end) and token.endswith(self.end)
+            symbols = token.removesuffix(self.end) if ends else token
+            if len(symbols) > 2:
+                (self.end_lengths if ends else self.lengths).setdefault(symbols[-3:], []).append(len(symbols))
+        for table in (self.lengths, self.end_lengths):
+            table |= {k: sorted(set(v), reverse=True) for k, v in table.items()}
         self.symbols = {b: c for b, c in _byte_characters().items()}
         self.allowed: dict[tuple[int, int], bool] = {}
         self.whole: dict[int, bool] = {}
@@ -134,42 +144,56 @@ class WordBpe:
     def learn(self, words: Iterable[str]) -> None:
         """Put the ids and tokens of distinct words into memory, by one walk over their trie."""
         root: dict = {}
+        symbols, leaves = self.symbols, ""
         for word in words:
             node = root
-            line = word.encode().decode("latin-1").translate(self.symbols)
+            line = word.encode().decode("latin-1").translate(symbols)
             for symbol in line[:-1]:
-                node = node.setdefault(symbol, {})
-            node.setdefault("", []).append((line[-1], word))
-        ids, longest = self.ids, self.longest
-        path: list[str] = []
+                node = node.get(symbol) or node.setdefault(symbol, {})
+            if leaves in node:
+                node[leaves].append((line, word))
+            else:
+                node[leaves] = [(line, word)]
+        text_of, memory, last_token, end = self.text, self.memory, self.last_token, self.end
         last: list[tuple[int, int]] = [(-1, 0)]  # by depth: last token and its symbols
-        stack: list[tuple[int, str, dict]] = [(0, "", root)]
+        stack: list[tuple[str, dict]] = [("", root)]
         while stack:
-            depth, symbol, node = stack.pop()
-            if depth:
-                del path[depth - 1 :], last[depth:]
-                path.append(symbol)
-                last.append(self.last_token("".join(path[-longest:]), last, ""))
-            for symbol, word in node.get("", ()):
-                text = "".join(path[max(0, depth - longest + 1) :]) + symbol
-                token, size = self.last_token(text, last, self.end)
-                found, at = [token], depth + 1 - size
-                while at:
-                    token, size = last[at]
-                    found.append(token)
-                    at -= size
-                found.reverse()
-                self.memory[word] = " ".join(map(str, found)), " ".join(self.text[i] for i in found)
-            stack.extend((depth + 1, symbol, child) for symbol, child in node.items() if symbol)
-
-    def last_token(self, tail: str, last: list[tuple[int, int]], end: str) -> tuple[int, int]:
-        """The last token of the prefix that ends in tail, and how many symbols it has; last holds the shorter prefixes."""
-        depth = len(last)  # the prefix's symbols; last[0] is the empty prefix
-        for size in range(min(len(tail), depth), 0, -1):
-            token = self.ids.get(tail[-size:] + end)
-            if token is not None and self.stands(token) and (size == depth or self.follows(last[depth - size][0], token)):
+            prefix, node = stack.pop()
+            if depth := len(prefix):
+                del last[depth:]
+                last.append(last_token(prefix, last, "", self.lengths))
+            for symbol, child in node.items():
+                if symbol:
+                    stack.append((prefix + symbol, child))
+                    continue
+                for line, word in child:
+                    token, size = last_token(line, last, end, self.end_lengths)
+                    found, at = [token], depth + 1 - size
+                    while at:
+                        token, size = last[at]
+                        found.append(token)
+                        at -= size
+                    found.reverse()
+                    memory[word] = " ".join(map(str, found)), " ".join([text_of[i] for i in found])
+
+    def last_token(self, prefix: str, last: list[tuple[int, int]], end: str, lengths: dict[str, list[int]]) -> tuple[int, int]:
+        """The last token of the encoding of prefix, and how many symbols it has; last holds the shorter prefixes."""
+        depth, ids, whole, allowed = len(prefix), self.ids, self.whole, self.allowed
+        for size in lengths.get(prefix[-3:], ()) if depth > 2 else ():
+            if size > depth:
+                continue
+            token = ids.get(prefix[depth - size :] + end)
+            if token is None or not (whole[token] if token in whole else self.stands(token)):
+                continue
+            if size == depth:
+                return token, size
+            pair = last[depth - size][0], token
+            if allowed[pair] if pair in allowed else self.follows(*pair):
+                return token, size
+        for size in (2, 1):
+            if size <= depth and (token := ids.get(prefix[depth - size :] + end)) is not None and self.stands(token) and (size == depth or self.follows(last[depth - size][0], token)):
                 return token, size
-        raise ValueError(f"no token ends {tail!r}")
+        raise ValueError(f"no token ends {prefix!r}")
 
     def words(self, text: str) -> list[str]:
         if not BEYOND.search(text):
@@ -201,7 +225,9 @@ class WordBpe:
                 self.memory.clear()
             new = [w for w in seen if w not in self.memory]
             if new:
+                gc.disable()  # a trie has no cycles, and its many small objects would set off collections
                 self.learn(new)
+                gc.enable()
             memory = self.memory
             for p in parts:
                 found = []
