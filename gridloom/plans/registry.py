@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from gridloom.plans import queries_cells
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {**queries_cells.QUERIES}
+ORACLE_SQL = {**queries_cells.ORACLE_SQL}
