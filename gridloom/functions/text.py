@@ -7,6 +7,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # These word lists and patterns decide results.
 MISSING = ("n/a", "na", "null", "nan", "none", "missing", "unknown")
@@ -45,7 +46,7 @@ def strip_stars(text: Column, trailing_only: bool = False) -> Column:
     return F.regexp_replace(text, r"\*+$", "") if trailing_only else F.replace(text, F.lit("*"), F.lit(""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def compose(text: pd.Series) -> pd.Series:
     """Unicode composition, which has no built-in function."""
     return text.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))

@@ -4,18 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
-def _fields(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
-
-
-CELL = _fields("chapter_id INT, chain_id STRING, table_id STRING, table_name STRING, year INT, row_index INT, col_index INT, cell_value STRING")
-MASK = _fields("chapter_id INT, chain_id STRING, table_id STRING, mask_name STRING, row_index INT, col_index INT, is_feature BOOLEAN, mask_class STRING")
-CHAIN = _fields("chapter_id INT, chapter_name STRING, chain_id STRING, chain_name STRING, table_count INT, years ARRAY<INT>, gaps ARRAY<INT>")
-LINK = _fields("chapter_id INT, chain_id STRING, seq INT, year INT, table_id STRING, header STRING, mask_reference STRING, similarity DOUBLE, api_validated BOOLEAN")
-MERGED = _fields("chain_id STRING NOT NULL, chapter_id INT, meta_year INT, row_index INT, column_name STRING, cell_value STRING, merge_timestamp TIMESTAMP, merge_status STRING")
+# Schemas are DDL text, as readers and createDataFrame take it.
+CELL = "chapter_id INT, chain_id STRING, table_id STRING, table_name STRING, year INT, row_index INT, col_index INT, cell_value STRING"
+MASK = "chapter_id INT, chain_id STRING, table_id STRING, mask_name STRING, row_index INT, col_index INT, is_feature BOOLEAN, mask_class STRING"
+CHAIN = "chapter_id INT, chapter_name STRING, chain_id STRING, chain_name STRING, table_count INT, years ARRAY<INT>, gaps ARRAY<INT>"
+LINK = "chapter_id INT, chain_id STRING, seq INT, year INT, table_id STRING, header STRING, mask_reference STRING, similarity DOUBLE, api_validated BOOLEAN"
+MERGED = "chain_id STRING NOT NULL, chapter_id INT, meta_year INT, row_index INT, column_name STRING, cell_value STRING, merge_timestamp TIMESTAMP, merge_status STRING"
 
 FEATURE, DATA, NONE, UNDECIDED = "feature", "data-point", "None", "undecided"
 
