@@ -12,8 +12,9 @@ statistic up to that length. Where it reaches a window, the first occurrence in
 row are reported as an interval.
 
 A name with more than `max_group` segments (a passage that very many documents share) does not go to one shard: its
-windows are hashed whole (128 bits), and the first of each is a minimum that is taken before the shuffle. Documents with
-equal texts are settled by their whole text. All three ways give the same rule's result.
+windows are hashed whole (128 bits), and the first of each is a minimum that is taken before the shuffle. A segment that
+its own document has had before is settled in the document, and documents with equal texts by their whole text. All
+ways give the same rule's result.
 
 Defined results. Null, empty, blank and short texts: nothing removed. A row without doc_id is kept whole and counts as no
 source. Rows with one doc_id are one document: only an earlier start counts among them, so equal rows remove nothing
@@ -42,7 +43,8 @@ TOGETHER = 400_000
 class RepeatParams:
     window: int = 20
     gram: int = 6
-    max_group: int = 2_000
+    #: Segments of one name that one shard may hold: with 26 words each, about 0.3 million words of a task's memory.
+    max_group: int = 10_000
     words_per_shard: int = 200_000
 
 
@@ -265,35 +267,54 @@ def _search(window: int):
 
 # ---------------------------------------------------------------- the whole job
 
-_CUT = "shard int, doc_id long, th long, start int, part binary, k1 long, k2 long, hot boolean"
+_CUT = "kind int, shard int, doc_id long, th long, start int, part binary, k1 long, k2 long"
+#: Kinds of rows: a segment for its shard, a hashed window of a hot name, a span settled inside its document.
+COLD, HOT, OWN = 0, 1, 2
 
 
 def _cut_segments(window: int):
-    """Words of each candidate segment, or hashes of its windows where its name is hot."""
-    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64(), pa.bool_())
+    """Words of each candidate segment, or hashes of its windows where its name is hot.
+
+    A segment that its document has had before is settled here: only the first of equal segments travels."""
+    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
     names = [c.split()[0] for c in _CUT.split(", ")]
     half = (1 << 64) - 1
 
+    def of_document(words: list[bytes], found: list[dict]) -> Iterator[tuple]:
+        had: set[bytes] = set()
+        own = None
+        for x in sorted(found, key=lambda x: x["start"]):
+            start, end = x["start"], x["start"] + x["n"] + window - 1
+            part = b" ".join(words[start:end])
+            if part in had:
+                if own and start <= own[1]:
+                    own[1] = max(own[1], end)
+                else:
+                    if own:
+                        yield OWN, -1, own[0], None, own[1], None
+                    own = [start, end]
+                continue
+            had.add(part)
+            if x["shard"] >= 0:
+                yield COLD, x["shard"], start, part, None, None
+                continue
+            for j in range(start, start + x["n"]):
+                h = xxhash.xxh3_128_intdigest(b" ".join(words[j : j + window]))
+                yield HOT, -1, j, None, (h >> 64) - (1 << 63), (h & half) - (1 << 63)
+        if own:
+            yield OWN, -1, own[0], None, own[1], None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column(2).cast(pa.binary())
             out: list[list] = [[] for _ in kinds]
             size = 0
-            for i, (doc, th, found) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True)):
-                words = texts[i].as_py().split()
-                for x in found.values:
-                    start, n, shard = x["start"].as_py(), x["n"].as_py(), x["shard"].as_py()
-                    if shard >= 0:
-                        row = [(shard, doc, th, start, b" ".join(words[start : start + n + window - 1]), None, None, False)]
-                        size += n + window
-                    else:
-                        digests = [(j, xxhash.xxh3_128_intdigest(b" ".join(words[j : j + window]))) for j in range(start, start + n)]
-                        row = [(-1, doc, th, j, None, (h >> 64) - (1 << 63), (h & half) - (1 << 63), True) for j, h in digests]
-                        size += n
-                    for r in row:
-                        for c, v in zip(out, r, strict=True):
-                            c.append(v)
-                if size > 300_000:
+            for i, (doc, th) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
+                for kind, shard, start, part, k1, k2 in of_document(texts[i].as_py().split(), batch.column(3)[i].as_py()):
+                    size += len(part or b"") + 50
+                    for c, v in zip(out, (kind, shard, doc, th, start, part, k1, k2), strict=True):
+                        c.append(v)
+                if size > 4_000_000:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
                     out, size = [[] for _ in kinds], 0
             if out[0]:
@@ -324,17 +345,18 @@ def repeat_spans(docs: DataFrame, params: RepeatParams = RepeatParams()) -> Data
     discard(counts)
     release(docs.sparkSession)
     rows = keyed.join(found, ["doc_id", "th"]).select("doc_id", "th", "text", "found").mapInArrow(_cut_segments(params.window), _CUT)
-    path = materialize(rows.select("hot", "shard", "doc_id", "th", "start", "part", "k1", "k2"), "repeat-segments", compression="zstd", by="hot")
+    path = materialize(rows.select("shard", "doc_id", "th", "start", "part", "k1", "k2", "kind"), "repeat-segments", compression="zstd", by="kind")
     discard(found)
     release(docs.sparkSession)
     parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    cold = path.filter("not hot").select("shard", "doc_id", "th", "start", "part").repartition(int(parts), "shard").sortWithinPartitions("shard", "doc_id", "start")
+    cold = path.filter(F.col("kind") == COLD).select("shard", "doc_id", "th", "start", "part").repartition(int(parts), "shard").sortWithinPartitions("shard", "doc_id", "start")
     cold = cold.mapInArrow(_search(params.window), "doc_id long, th long, s int, e int")
-    hot = path.filter("hot").select("k1", "k2", "doc_id", "th", "start")
+    hot = path.filter(F.col("kind") == HOT).select("k1", "k2", "doc_id", "th", "start")
     first = hot.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     later = F.struct(F.col("doc_id"), F.col("start")) > F.col("first")
     hot = hot.join(first, ["k1", "k2"]).filter(later).select("doc_id", "th", F.col("start").alias("s"), (F.col("start") + params.window).alias("e"))
-    spans = cold.union(hot).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+    own = path.filter(F.col("kind") == OWN).select("doc_id", "th", F.col("start").alias("s"), F.col("k1").cast("int").alias("e"))
+    spans = cold.union(hot).union(own).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
     whole = copies.select("doc_id", "th", F.lit(True).alias("copy"), F.lit(None).cast("array<struct<s:int,e:int>>").alias("spans"))
     out = materialize(spans.select("doc_id", "th", F.lit(False).alias("copy"), "spans").union(whole), "repeat-spans")
     discard(path, copies)
