@@ -33,7 +33,7 @@ def running_totals(placed: DataFrame, by: list[str], sums: dict[str, str]) -> Da
     return F.broadcast(placed.sparkSession.createDataFrame(out, schema))
 
 
-def shard_by_bytes(docs: DataFrame, shards: int = 40, overhead: int = 16, rows_per_part: int = 20_000) -> DataFrame:
+def shard_by_bytes(docs: DataFrame, shards: int = 40, overhead: int = 16, rows_per_part: int = 4_000) -> DataFrame:
     """doc_id, size, text_crc32, shard and slot of every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
     sizes = materialize(
