@@ -74,7 +74,7 @@ def best_buckets(histogram: dict[int, int], buckets: int) -> list[int]:
     return out[::-1]
 
 
-def pack(docs: DataFrame, length: str = "n_tokens", buckets: int = 8, token_budget: int = 65_536, max_lengths: int = 50_000, rows_per_part: int = 20_000) -> DataFrame:
+def pack(docs: DataFrame, length: str = "n_tokens", buckets: int = 8, token_budget: int = 65_536, max_lengths: int = 50_000, rows_per_part: int = 4_000) -> DataFrame:
     """doc_id, length, bucket, width, batch, slot and padding of every row of docs; `batch` is unique over all buckets."""
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(length).cast("long").alias("length")), "lengths")
     most = rows.agg(F.max("length")).first()[0]
