@@ -117,3 +117,13 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op7_substring_dedup"] = op7_substring_dedup
+
+
+def _more_sql() -> None:
+    from gridloom.llm import oracles
+
+    ORACLE_SQL["op2_quality_rules"] = oracles.quality_sql()
+    ORACLE_SQL["op7_substring_dedup"] = oracles.SUBSTRINGS
+
+
+_more_sql()
