@@ -32,9 +32,9 @@ def vectors(spark, d, ident="vec_id", vector="embedding"):
 
 def scored(spark, d, least=None):
     """Chains are the even vectors of a label, tables the odd ones."""
-    a = vectors(spark, d, "chain", "a").filter("chain % 2 = 0")
-    b = vectors(spark, d, "tab", "b").filter("tab % 2 = 1")
-    return S.block_pairs(a, b, ["label"], F.round(S.cosine_01(F.col("a"), F.col("b")), 6), least).select("label", "chain", "tab", "similarity")
+    a = S.with_norm(vectors(spark, d, "chain", "a").filter("chain % 2 = 0"), "a", "na")
+    b = S.with_norm(vectors(spark, d, "tab", "b").filter("tab % 2 = 1"), "b", "nb")
+    return S.block_pairs(a, b, ["label"], F.round((1 + S.cosine_by_norms("a", "b", "na", "nb")) / 2, 6), least).select("label", "chain", "tab", "similarity")
 
 
 DOT = "list_sum(list_transform(list_zip({0}, {1}), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE)))"
