@@ -18,7 +18,12 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write df once and read it back: later steps do not compute it again, and lost executors do not lose it."""
+    """Write df once and read it back: later steps do not compute it again, and lost executors do not lose it.
+
+    The table goes when the application ends.
+    """
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(where)
     return df.sparkSession.read.schema(df.schema).parquet(path)
