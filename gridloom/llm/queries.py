@@ -9,6 +9,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A table in fewer parts than there are cores (one small file) is dealt out; larger ones stay where they lie."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.quality import quality_rules
 
@@ -25,7 +31,7 @@ ORACLE_SQL: dict[str, str] = {}
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.simhash import hexed, near_duplicates
 
-    return near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", hexed("fp").alias("fingerprint"), "component_id")
+    return near_duplicates(spread(table(spark, sf_dir, "documents").select("doc_id", "text"))).select("doc_id", hexed("fp").alias("fingerprint"), "component_id")
 
 
 QUERIES["op6_simhash_near_dedup"] = op6_simhash_near_dedup
@@ -34,7 +40,7 @@ QUERIES["op6_simhash_near_dedup"] = op6_simhash_near_dedup
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.toxicity import score, train
 
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return score(docs, train(docs, table(spark, sf_dir, "labels")))
 
 
@@ -51,13 +57,13 @@ def tokenizer_path(name: str) -> str:
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.tokens import load_vocabulary, token_counts
 
-    return token_counts(table(spark, sf_dir, "documents"), load_vocabulary(tokenizer_path("piece_bpe_32k.model")))
+    return token_counts(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), load_vocabulary(tokenizer_path("piece_bpe_32k.model")))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.bpe import encode_decode
 
-    return encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return encode_decode(spread(table(spark, sf_dir, "documents").select("doc_id", "text")), tokenizer_path("word_bpe_49k.json"))
 
 
 QUERIES["op1_token_counts"] = op1_token_counts
@@ -113,7 +119,7 @@ QUERIES["op5_document_fingerprints"] = op5_document_fingerprints
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.substrings import repeat_report
 
-    return repeat_report(table(spark, sf_dir, "documents"))
+    return repeat_report(spread(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 QUERIES["op7_substring_dedup"] = op7_substring_dedup
