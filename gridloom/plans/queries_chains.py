@@ -8,6 +8,7 @@ from gridloom.functions import text as X
 from gridloom.operators import assign as A
 from gridloom.operators import chains as C
 from gridloom.operators import merge as R
+from gridloom.operators import reports as P
 from gridloom.operators import similarity as S
 from gridloom.operators import stack as K
 from gridloom.plans.queries_cells import read
@@ -266,3 +267,55 @@ def name_history(spark, d):
 @query()
 def fallback_embeddings(spark, d):
     return S.embed_distinct(read(spark, d, "part").select("p_partkey", "p_name"), "p_name", S.fallback_embedding(16))
+
+
+@query("""SELECT count(*) AS total, count_if(quality = 1)::BIGINT AS successful, count_if(quality <> 1)::BIGINT AS failed, round(avg(CASE WHEN quality = 1 THEN n_chars END), 4) AS mean_n_chars FROM labels JOIN documents USING (doc_id)""")
+def run_summary(spark, d):
+    both = read(spark, d, "labels").join(read(spark, d, "documents").select("doc_id", "n_chars"), "doc_id")
+    return P.run_summary(both, F.col("quality") == 1, "n_chars").withColumn("mean_n_chars", F.round("mean_n_chars", 4))
+
+
+@query("""SELECT event_id, CASE WHEN length(h) > 20 THEN substr(h, 1, 17) || '...' ELSE h END AS header FROM (SELECT event_id, coalesce(CASE WHEN event_type = 'view' THEN event_type END, CASE WHEN event_id % 2 = 0 THEN 'a long header of event ' || event_id END, 'none') AS h FROM events)""")
+def section_display(spark, d):
+    e = read(spark, d, "events").select("event_id", F.when(F.col("event_type") == "view", F.col("event_type")).otherwise(" ").alias("a"), F.when(F.col("event_id") % 2 == 0, F.concat(F.lit("a long header of event "), F.col("event_id").cast("string"))).alias("b"), F.lit("none").alias("c"))
+    return e.select("event_id", X.truncate(P.first_filled("a", "b", "c"), 20).alias("header"))
+
+
+FLOW = f"{LINKS}, f AS (SELECT *, lag(table_id) OVER (PARTITION BY chain_id ORDER BY year) AS source, 0.8 + (table_id % 20) / 100.0 AS s FROM links)"
+
+
+@query(f"""WITH {FLOW} SELECT chain_id, source, table_id AS target, year, CASE WHEN table_id % 3 = 0 THEN 'dark ' ELSE '' END || CASE WHEN table_id % 20 >= 17 THEN 'green' WHEN table_id % 20 >= 10 THEN 'amber' WHEN table_id % 20 >= 5 THEN 'orange' ELSE 'red' END AS colour FROM f WHERE source IS NOT NULL""")
+def flow_edges(spark, d):
+    links = year_links(spark, d).withColumn("similarity", F.round(0.8 + (F.col("table_id") % 20) / 100, 2)).withColumn("api_validated", F.col("table_id") % 3 == 0)
+    return P.flow_edges(links)
+
+
+@query(f"""WITH {LINKS} SELECT chain_id, '{{"nodes":[' || string_agg('{{"year":' || year || ',"table_id":' || table_id || '}}', ',' ORDER BY year) || '],"n":' || count(*) || '}}' AS json FROM links GROUP BY 1""")
+def graph_json(spark, d):
+    return P.graph_json(year_links(spark, d))
+
+
+@query("""WITH m AS (SELECT n_nationkey AS key, CASE WHEN n_nationkey % 4 = 0 THEN NULL ELSE [n_regionkey, n_nationkey % 7] END AS vs FROM nation), x AS (SELECT key, unnest([0, 1]) AS place, unnest(vs) AS value FROM m WHERE vs IS NOT NULL)
+SELECT m.key, (SELECT arg_max(r_name, place) FROM x JOIN region ON r_regionkey = value WHERE x.key = m.key) AS name FROM m""")
+def mapped_names(spark, d):
+    m = read(spark, d, "nation").select(F.col("n_nationkey").alias("key"), F.when(F.col("n_nationkey") % 4 != 0, F.array("n_regionkey", F.col("n_nationkey") % 7)).alias("values"))
+    return P.mapped_names(m, read(spark, d, "region").select(F.col("r_regionkey").alias("value"), F.col("r_name").alias("name")))
+
+
+@query(f"WITH {SCORED} SELECT tab, arg_max(chain, (similarity, -chain)) AS chain, max(similarity) AS similarity FROM scored WHERE similarity >= 0.6 GROUP BY 1")
+def best_revival(spark, d):
+    return P.best_revival(scored(spark, d), "chain", "tab", 0.6)
+
+
+@query(f"""WITH {SCORED}, t AS (SELECT unnest([0.45, 0.5, 0.55, 0.6])::DOUBLE AS threshold), c AS (SELECT threshold, count_if(similarity >= threshold AND (chain + tab) % 3 = 0)::BIGINT AS tp, count_if(similarity >= threshold AND (chain + tab) % 3 <> 0)::BIGINT AS fp, count_if(similarity < threshold AND (chain + tab) % 3 = 0)::BIGINT AS fn FROM scored, t GROUP BY 1)
+SELECT *, round(2 * tp / greatest(2 * tp + fp + fn, 1), 6) AS f1 FROM c""")
+def threshold_search(spark, d):
+    return P.grid_search(scored(spark, d), (0.45, 0.5, 0.55, 0.6), "similarity", (F.col("chain") + F.col("tab")) % 3 == 0)
+
+
+@query("""WITH c AS (SELECT l_orderkey AS table_id, unnest([CAST(1890 + l_linenumber * 30 AS VARCHAR), l_returnflag, CASE WHEN l_linestatus = 'F' THEN '%' ELSE 'לוח' END]) AS v FROM lineitem),
+k AS (SELECT table_id, CASE WHEN v = '%' THEN 'x percentage' WHEN v = 'לוח' OR try_cast(v AS DOUBLE) BETWEEN 1900 AND 2024 THEN v END AS v FROM c)
+SELECT table_id, coalesce(string_agg(DISTINCT v, '|' ORDER BY v), '') AS features FROM k GROUP BY 1""")
+def text_features(spark, d):
+    cells = read(spark, d, "lineitem").select(F.col("l_orderkey").alias("table_id"), F.explode(F.array((1890 + F.col("l_linenumber") * 30).cast("string"), "l_returnflag", F.when(F.col("l_linestatus") == "F", "%").otherwise(X.TABLE_MARK))).alias("cell_value"))
+    return P.text_features(cells).select("table_id", F.concat_ws("|", "features").alias("features"))
