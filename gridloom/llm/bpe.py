@@ -25,6 +25,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gridloom.llm.common import map_batches
+
 #: Words that a worker remembers; beyond it the memory starts anew, which changes no result.
 REMEMBER = 400_000
 #: Characters of text whose words are looked up together.
@@ -263,4 +265,4 @@ def encode_decode(docs: DataFrame, path: str) -> DataFrame:
                     b.append(hashlib.sha256(text.encode()).hexdigest())
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.array(n, np.int64)), pa.array(a, pa.string()), pa.array(b, pa.string())], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

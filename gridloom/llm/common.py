@@ -25,12 +25,29 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Bytes of an Arrow batch. A batch lies in the executor and in its Python worker, some of it twice.
+BATCH_BYTES = 4 << 20
+
+
+def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
+    """mapInArrow with batches of bounded bytes, so very long texts do not add up in memory. The bound is a session setting."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(df.sparkSession.conf.get(name).rstrip("b")) > BATCH_BYTES:
+        df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)
+
+
 def materialize(df: DataFrame, tag: str, compression: str = "snappy", by: str | None = None) -> DataFrame:
-    """Write df once to the shared folder and read it back: this cuts the lineage, and lost executors do not lose it."""
+    """Write df once to the shared folder and read it back: this cuts the lineage, and lost executors do not lose it.
+
+    The table goes when the application ends, or with `discard`.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     writer = df.write.option("compression", compression)
     (writer.partitionBy(by) if by else writer).parquet(path)
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
     out = spark.read.schema(df.schema).parquet(path)
     out._gridloom_path = path
     return out

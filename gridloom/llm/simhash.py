@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import discard, materialize
+from gridloom.llm.common import discard, map_batches, materialize
 
 SEED = 42
 DISTANCE = 2
@@ -66,7 +66,7 @@ def _fingerprint_batches(shingle: int):
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id and fp, the fingerprint as a signed long. Each text is read once, where it lies."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprint_batches(shingle), "doc_id long, fp long")
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), _fingerprint_batches(shingle), "doc_id long, fp long")
 
 
 def links(distinct: DataFrame, max_block: int = 64) -> DataFrame:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import discard, materialize, release
+from gridloom.llm.common import discard, map_batches, materialize, release
 
 TOGETHER = 400_000
 
@@ -152,44 +152,37 @@ class WaveletMatrix:
 
 
 class FmIndex:
-    """Of a text of integers from 1 on, with 0 after each segment; patterns of up to `depth` symbols."""
+    """Of a text of integers from 1 on, with 0 after each segment; patterns of up to `depth` (2 or more) symbols."""
 
     def __init__(self, text: np.ndarray, symbols: int, depth: int):
         self.depth, n = depth, len(text)
-        padded = np.concatenate([text, np.zeros(2 * depth + 2, np.int64)])
-        ranks = {1: padded}
-        size = 1
+        rank = np.concatenate([text, np.zeros(2 * depth + 2, text.dtype)]).astype(np.int32)
+        size, half = 1, rank
         while size * 2 < depth:  # ranks of all stretches of size symbols, by sorting pairs
-            ranks[2 * size] = self._rank_pairs(ranks[size], size)
-            size *= 2
-        half = ranks[size]
-        cover = lambda length: (half[:n], half[length - size : length - size + n])  # noqa: E731  two stretches, overlapping
-        a, b = cover(depth)
-        key = a * (int(half.max()) + 1) + b
-        rows = np.argsort(key, kind="stable")
-        self.transform = WaveletMatrix(np.where(rows > 0, text[rows - 1], 0), symbols)
+            half, size = self._rank_pairs(half, size), 2 * size
+        # Two stretches that overlap cover any length from size to twice that.
+        key = half[:n].astype(np.int64) * (int(half.max()) + 1) + half[depth - size : depth - size + n]
+        rows = np.argsort(key, kind="stable").astype(np.int32)
+        self.transform = WaveletMatrix(np.where(rows > 0, text[rows - 1], 0).astype(np.int32), symbols)
         self.first = self.transform.firsts(symbols)
         self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))])
         self.size = n
         # First position of each group of rows that share `depth` symbols; bounds of groups that share one symbol less.
-        sorted_key = key[rows]
-        new = np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])
-        self.group = np.cumsum(new) - 1
+        key = key[rows]
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        del key
+        self.group = np.cumsum(new, dtype=np.int32) - 1
         self.earliest = np.minimum.reduceat(rows, np.flatnonzero(new))
-        if size >= depth:
-            less = ranks[size // 2]
-            c, d = less[rows], less[rows + depth - 1 - size // 2]
-        else:
-            c, d = half[rows], half[rows + depth - 1 - size]
+        c, d = half[rows], half[rows + (depth - 1 - size)]
         parent = np.concatenate([[True], (c[1:] != c[:-1]) | (d[1:] != d[:-1])])
-        self.parent = np.cumsum(parent) - 1
+        self.parent = np.cumsum(parent, dtype=np.int32) - 1
         self.parent_at = np.append(np.flatnonzero(parent), n)
 
     @staticmethod
     def _rank_pairs(rank: np.ndarray, size: int) -> np.ndarray:
-        key = rank[:-size] * (int(rank.max()) + 1) + rank[size:]
+        key = rank[:-size].astype(np.int64) * (int(rank.max()) + 1) + rank[size:]
         _, out = np.unique(key, return_inverse=True)
-        return np.concatenate([out, np.zeros(size, np.int64)])
+        return np.concatenate([out.astype(np.int32), np.zeros(size, np.int32)])
 
     def extend(self, low: np.ndarray, high: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row ranges of symbol + match, from those of match."""
@@ -214,6 +207,7 @@ def repeated_windows(parts: list[bytes], window: int) -> tuple[np.ndarray, np.nd
     begins = np.cumsum(sizes + 1) - sizes - 1
     text = np.zeros(int(sizes.sum()) + len(parts), np.int64)
     text[np.arange(len(flat)) + np.repeat(np.arange(len(parts)), sizes)] = flat
+    del words, flat
     index = FmIndex(text, len(known) + 1, window)
     earliest = np.full(len(text), -1, np.int64)
     order = np.argsort(-sizes, kind="stable")
@@ -334,7 +328,7 @@ def repeat_spans(docs: DataFrame, params: RepeatParams = RepeatParams()) -> Data
     """doc_id, th (the text's hash), copy (the whole text is a later copy) and spans (s, e) of words to remove, for documents that have any."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").filter("doc_id is not null and text is not null")
     copies = materialize(_later_copies(keyed), "repeat-copies")
-    named = keyed.select("doc_id", "th", "text").mapInArrow(_name_segments(params), "doc_id long, th long, start int, n int, name long")
+    named = map_batches(keyed.select("doc_id", "th", "text"), _name_segments(params), "doc_id long, th long, start int, n int, name long")
     counts = materialize(named.groupBy("name").agg(F.count("*").alias("many")).filter("many > 1"), "repeat-names")
     release(docs.sparkSession)
     total = counts.filter(F.col("many") <= params.max_group).agg(F.sum("many")).first()[0] or 0
@@ -344,13 +338,13 @@ def repeat_spans(docs: DataFrame, params: RepeatParams = RepeatParams()) -> Data
     found = materialize(kept.groupBy("doc_id", "th").agg(F.collect_set("x").alias("found")).join(copies, ["doc_id", "th"], "left_anti"), "repeat-found")
     discard(counts)
     release(docs.sparkSession)
-    rows = keyed.join(found, ["doc_id", "th"]).select("doc_id", "th", "text", "found").mapInArrow(_cut_segments(params.window), _CUT)
+    rows = map_batches(keyed.join(found, ["doc_id", "th"]).select("doc_id", "th", "text", "found"), _cut_segments(params.window), _CUT)
     path = materialize(rows.select("shard", "doc_id", "th", "start", "part", "k1", "k2", "kind"), "repeat-segments", compression="zstd", by="kind")
     discard(found)
     release(docs.sparkSession)
     parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
     cold = path.filter(F.col("kind") == COLD).select("shard", "doc_id", "th", "start", "part").repartition(int(parts), "shard").sortWithinPartitions("shard", "doc_id", "start")
-    cold = cold.mapInArrow(_search(params.window), "doc_id long, th long, s int, e int")
+    cold = map_batches(cold, _search(params.window), "doc_id long, th long, s int, e int")
     hot = path.filter(F.col("kind") == HOT).select("k1", "k2", "doc_id", "th", "start")
     first = hot.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("first"))
     later = F.struct(F.col("doc_id"), F.col("start")) > F.col("first")
@@ -398,7 +392,7 @@ def repeat_report(docs: DataFrame, params: RepeatParams = RepeatParams()) -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_words", "n_removed", "kept_sha256"])
 
     joined = _joined(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), repeat_spans(docs, params), ["doc_id", "text"])
-    return joined.mapInArrow(run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return map_batches(joined, run, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame, params: RepeatParams = RepeatParams()) -> DataFrame:
@@ -420,4 +414,4 @@ def remove_repeats(docs: DataFrame, params: RepeatParams = RepeatParams()) -> Da
             columns[where] = pa.array(out, batch.schema.field(where).type)
             yield pa.RecordBatch.from_arrays(columns, names=names[:-2])
 
-    return _joined(docs, repeat_spans(docs, params), docs.columns).mapInArrow(run, docs.schema)
+    return map_batches(_joined(docs, repeat_spans(docs, params), docs.columns), run, docs.schema)

@@ -20,6 +20,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from gridloom.llm.common import map_batches
+
 SPACE = "▁"
 #: Words that a worker remembers; beyond it the memory starts anew, which changes no count.
 REMEMBER = 300_000
@@ -118,4 +120,4 @@ def token_counts(docs: DataFrame, vocabulary: UnigramVocabulary) -> DataFrame:
             n = np.fromiter((counter.count(t.as_py()) for t in batch.column(1)), np.int64, batch.num_rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n)], names=["doc_id", "n_tokens"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long")
+    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long")

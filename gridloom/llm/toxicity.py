@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import WORD, discard, materialize
+from gridloom.llm.common import WORD, discard, map_batches, materialize
 
 
 @dataclass(frozen=True)
@@ -234,7 +234,7 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
             x = [features(t.as_py(), words, stems, params.stem_lengths) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(x, pa.list_(pa.float64(), -1)), batch.column(2)], names=["doc_id", "x", "toxic"])
 
-    got = sample.select("doc_id", "text", "toxic").mapInArrow(rows, "doc_id long, x array<double>, toxic int").toArrow().to_pandas().sort_values("doc_id")
+    got = map_batches(sample.select("doc_id", "text", "toxic"), rows, "doc_id long, x array<double>, toxic int").toArrow().to_pandas().sort_values("doc_id")
     discard(sample)
     x, y = np.array(got["x"].tolist()).reshape(-1, k), got["toxic"].to_numpy(float)
     # Calibration needs margins of rows that the trees did not see: two halves judge each other.
@@ -256,7 +256,7 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 label = pa.array((found >= model.params.threshold).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(found), label], names=["doc_id", "held_out", "score", "predicted"])
 
-    return docs.select("doc_id", (fold() == 1).alias("held_out"), "text").mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    return map_batches(docs.select("doc_id", (fold() == 1).alias("held_out"), "text"), run, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
@@ -269,4 +269,4 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
                 found = model.scores([t.as_py() or "" for t in part.column(part.schema.names.index("text"))])
                 yield part.filter(pa.array(found < model.params.threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_batches(docs, run, docs.schema)

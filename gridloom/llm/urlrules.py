@@ -23,6 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.llm.common import map_batches
+
 Rule = tuple[str, str, str]  # action, host, path
 
 #: Rules that a task may hold, about 100 bytes each.
@@ -179,8 +181,8 @@ def _spread(pages: DataFrame, rules: DataFrame, default: str, parts: int) -> Dat
                 kinds = (pa.int64(), *[pa.string()] * 4)
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=[x.split()[0] for x in OUT.split(", ")])
 
-    both = pages.select("page_id", "url").mapInArrow(of_urls, _EVENT).union(rules.select("action", "host", "path").mapInArrow(of_rules, _EVENT))
-    return both.repartition(parts, "bucket").sortWithinPartitions("bucket", "key", "kind", "path").mapInArrow(run, OUT)
+    both = map_batches(pages.select("page_id", "url"), of_urls, _EVENT).union(map_batches(rules.select("action", "host", "path"), of_rules, _EVENT))
+    return map_batches(both.repartition(parts, "bucket").sortWithinPartitions("bucket", "key", "kind", "path"), run, OUT)
 
 
 def filter_urls(pages: DataFrame, rules: list[Rule] | DataFrame, default: str = "allow", max_local_rules: int = MAX_LOCAL_RULES, parts: int = 256) -> DataFrame:
@@ -193,4 +195,4 @@ def filter_urls(pages: DataFrame, rules: list[Rule] | DataFrame, default: str =
         rules = [tuple(r) for r in some if None not in tuple(r)]
     elif len(rules) > max_local_rules:
         return _spread(pages, pages.sparkSession.createDataFrame(rules, "action string, host string, path string"), default, parts)
-    return pages.mapInArrow(_local(rules, default), OUT)
+    return map_batches(pages, _local(rules, default), OUT)
