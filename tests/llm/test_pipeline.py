@@ -19,8 +19,6 @@ def test_stages_follow_each_other(spark):
         assert left.join(seen[-1], "doc_id", "left_anti").count() == 0
         seen.append(left)
     _, clean, good, single, cut = seen
-    toxic = labels.filter("toxic = 1").join(docs, "doc_id")
-    assert toxic.join(clean, "doc_id").count() < 0.2 * toxic.count()
     fine = labels.filter("toxic = 0").join(docs, "doc_id")
     assert fine.join(clean, "doc_id").count() > 0.98 * fine.count()
     assert single.count() == single.select("text").distinct().count()
@@ -31,6 +29,16 @@ def test_stages_follow_each_other(spark):
     assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in cut.select("doc_id").collect()}
 
 
+def test_toxic_documents_go(spark):
+    """On sf0.1: sf0.01 has 34 toxic training rows, too few for every language's words (it removes 40 of 51)."""
+    data = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    clean = corpus_pipeline.STAGES[0][1](spark, docs, data)
+    left = {(r.toxic, r.there): r["count"] for r in labels.join(clean.select("doc_id", F.lit(True).alias("there")), "doc_id", "left").groupBy("toxic", "there").count().collect()}
+    assert left.get((1, True), 0) < 0.2 * (left.get((1, True), 0) + left[1, None])
+    assert left.get((0, None), 0) < 0.02 * (left.get((0, None), 0) + left[0, True])
+
+
 def test_run_equals_the_stages(spark, tiny):
     docs = spark.read.parquet(f"{tiny}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
