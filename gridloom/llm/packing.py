@@ -6,8 +6,9 @@ work grows with lengths times buckets. Inside a bucket every document is padded
 token budget allows form a batch. Row numbers come from totals of parts of the doc_id order and a window inside a part,
 so a bucket that holds most rows is never gathered.
 
-Lengths over `max_lengths` distinct values are rounded up to a multiple before the boundaries are chosen; boundaries are
-then the best of those multiples. Batches always hold whole documents.
+Boundaries are the best of all lengths, however many there are: d distinct lengths need d * d / 2 words at least, so the
+histogram grows with the square root of the corpus. Over `max_lengths` rows of it come to the driver a partition at a
+time, with the same result. Batches always hold whole documents.
 
 Defined results. A length is the number of words plus one for an end mark, so null, empty and blank texts have length 1.
 A document longer than the budget is a batch alone. Equal doc_ids are ordered by length. Fewer lengths than buckets: one
@@ -74,14 +75,16 @@ def best_buckets(histogram: dict[int, int], buckets: int) -> list[int]:
     return out[::-1]
 
 
+def length_histogram(rows: DataFrame, max_lengths: int) -> dict[int, int]:
+    """Rows of each length; at most max_lengths of them are sent to the driver in one go, or a partition's."""
+    counts = materialize(rows.groupBy("length").agg(F.count("*").alias("n")), "histogram")
+    return {r["length"]: r["n"] for r in (counts.collect() if counts.count() <= max_lengths else counts.toLocalIterator())}
+
+
 def pack(docs: DataFrame, length: str = "n_tokens", buckets: int = 8, token_budget: int = 65_536, max_lengths: int = 50_000, rows_per_part: int = 4_000) -> DataFrame:
     """doc_id, length, bucket, width, batch, slot and padding of every row of docs; `batch` is unique over all buckets."""
     rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(length).cast("long").alias("length")), "lengths")
-    most = rows.agg(F.max("length")).first()[0]
-    step = max(1, -(-(most or 1) // max_lengths))
-    up = (F.ceil(F.col("length") / step) * step).cast("long") if step > 1 else F.col("length")
-    histogram = {r["k"]: r["n"] for r in rows.groupBy(up.alias("k")).agg(F.count("*").alias("n")).collect()}
-    widths = best_buckets(histogram, buckets) or [1]
+    widths = best_buckets(length_histogram(rows, max_lengths), buckets) or [1]
     each = [max(1, token_budget // w) for w in widths]
     edges = F.array(*[F.lit(w).cast("long") for w in widths])
     part = part_of(F.col("doc_id"), range_bounds(rows, "doc_id", rows_per_part))

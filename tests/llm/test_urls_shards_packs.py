@@ -88,3 +88,17 @@ def test_packing_is_whole(spark, tiny):
     want = {r.doc_id: len((r.text or "").split()) + 1 for r in docs.collect()}
     assert {r.doc_id: r.length for r in rows} == want
     assert pack(with_lengths(docs.limit(0))).count() == 0
+
+
+def test_one_long_document_leaves_the_boundaries_optimal(spark):
+    r = random.Random(3)
+    lengths = [r.randint(1, 400) for _ in range(60)] + [201] * 20 + [5_000_000]
+    hist = {k: lengths.count(k) for k in lengths}
+    ls = sorted(hist)
+    best = min(padding(hist, [*c, ls[-1]]) for c in combinations(ls[:-1], 2))
+    docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n_tokens long")
+    for most in (50_000, 10):
+        rows = pack(docs, buckets=3, max_lengths=most).collect()
+        assert sorted(x.length for x in rows) == sorted(lengths)
+        assert sum(x.padding for x in rows) == best
+        assert {x.width for x in rows} <= set(lengths)
