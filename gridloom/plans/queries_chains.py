@@ -171,10 +171,15 @@ def chain_filter_years(spark, d):
     return out.select("chain_id", F.concat_ws(",", F.transform("links", lambda x: x["table_id"].cast("string"))).alias("tables"))
 
 
+def nation_links(spark, d):
+    """Links of all chains, by nation."""
+    c = read(spark, d, "customer").select(F.col("c_custkey").alias("chain_id"), F.col("c_nationkey").alias("chapter_id"))
+    return year_links(spark, d).join(c, "chain_id")
+
+
 def short_links(spark, d):
     """Chains of fewer years, by nation."""
-    c = read(spark, d, "customer").select(F.col("c_custkey").alias("chain_id"), F.col("c_nationkey").alias("chapter_id"))
-    return year_links(spark, d).filter("(chain_id * 7 + year) % 3 = 0").join(c, "chain_id")
+    return nation_links(spark, d).filter("(chain_id * 7 + year) % 3 = 0")
 
 
 SHORT = f"{LINKS}, short AS (SELECT l.chain_id, year, table_id, c_nationkey AS chapter_id FROM links l JOIN customer ON c_custkey = chain_id WHERE (chain_id * 7 + year) % 3 = 0)"
@@ -198,7 +203,7 @@ def chain_merge_first_wins(spark, d):
 
 @query()
 def chain_merge_fixpoint(spark, d):
-    links = short_links(spark, d).withColumn("chain_id", F.col("chain_id").cast("string"))
+    links = nation_links(spark, d).withColumn("chain_id", F.col("chain_id").cast("string"))
     return R.merge_all(links)
 
 
@@ -206,7 +211,7 @@ def chain_merge_fixpoint(spark, d):
 def merge_report(spark, d):
     from gridloom.staging import stage
 
-    links = stage(short_links(spark, d).withColumn("chain_id", F.col("chain_id").cast("string")), "links")
+    links = stage(nation_links(spark, d).withColumn("chain_id", F.col("chain_id").cast("string")), "links")
     return R.merge_report(links, stage(R.merge_all(links), "merged"))
 
 
