@@ -271,7 +271,7 @@ def name_history(spark, d):
 
 @query()
 def fallback_embeddings(spark, d):
-    return S.embed_distinct(read(spark, d, "part").select("p_partkey", "p_name"), "p_name", S.fallback_embedding(16))
+    return S.embed_distinct(read(spark, d, "part").select("p_partkey", "p_name"), "p_name", S.fallback_embedding())
 
 
 @query("""SELECT count(*) AS total, count_if(quality = 1)::BIGINT AS successful, count_if(quality <> 1)::BIGINT AS failed, round(avg(CASE WHEN quality = 1 THEN n_chars END), 4) AS mean_n_chars FROM labels JOIN documents USING (doc_id)""")

@@ -1,3 +1,6 @@
+import hashlib
+
+import numpy as np
 from pyspark.sql import functions as F
 
 from gridloom.plans import queries_chains as Q
@@ -21,3 +24,11 @@ def test_merging_takes_all_links(spark, tiny):
         inside = [links[str(c)] for c, n in customers.items() if n == r.chapter_id and str(c) in links]
         assert (r.chains_before, r.years_before) == (len(inside), len({y for years in inside for y in years}))
         assert r.years_kept
+
+
+def test_fallback_embeddings_are_whole(spark, tiny):
+    rows = Q.fallback_embeddings(spark, tiny).collect()
+    assert len(rows) == spark.read.parquet(f"{tiny}/part.parquet").count()
+    for r in rows:
+        seed = int(hashlib.md5(r.p_name.encode()).hexdigest()[:8], 16) % 10_000
+        assert np.array_equal(np.array(r.embedding, np.float32), np.random.RandomState(seed).randn(768).astype(np.float32))
