@@ -17,7 +17,7 @@ fingerprint, and the smallest known id of its component or null. Empty table: em
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import accumulate, combinations
+from itertools import accumulate, combinations, count
 
 import numpy as np
 import pyarrow as pa
@@ -90,18 +90,21 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
 
-def connected(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def connected(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """(node, root) of every node with an edge (u, v); root is the smallest node of the component.
 
     Alternating stars keep connectivity and converge in a number of rounds that grows with the logarithm of the
-    component's size. A node's neighbours are reduced to a minimum before the shuffle, and never listed.
+    component's size; they run until a round changes nothing. With `rounds`, stars that still change after so many are an
+    error. A node's neighbours are reduced to a minimum before the shuffle, and never listed.
     """
     now = materialize(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).filter("u <> v").distinct(), "stars")
     before = None
-    for _ in range(rounds):
+    for done in count():
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before or not state[0]:
             break
+        if rounds is not None and done >= rounds:
+            raise RuntimeError(f"components are not stable after {rounds} rounds")
         before = state
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
@@ -68,3 +69,10 @@ def test_long_chain_is_one_component(spark):
     edges = spark.range(1, 300).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v"))
     got = connected(edges).collect()
     assert {x.root for x in got} == {0} and len(got) == 299
+
+
+def test_unstable_components_are_not_returned(spark):
+    edges = spark.range(1, 40).select(F.col("id").alias("u"), (F.col("id") - 1).alias("v"))
+    with pytest.raises(RuntimeError, match="not stable after 1 rounds"):
+        connected(edges, rounds=1)
+    assert {x.root for x in connected(edges).collect()} == {0}
