@@ -1,13 +1,14 @@
 """Quality rules by distribution divergence. DataFrame expressions only.
 
 Each document becomes two small histograms: character classes, and counts of common words. References are the
-same histograms summed by language over all documents that pass the base rules. A document is kept if, for some
-language, the Jensen-Shannon distance of both histograms is below the threshold. Counts below the minimum length
+same histograms summed by language over all documents that pass the base rules. A document whose language has a
+reference is kept if, for some language, the Jensen-Shannon distance of both histograms is below the threshold. Counts below the minimum length
 say too little, and that histogram is then not judged.
 
 Defined results. Null text: no words, base_failed. Empty text: the same. Ties and repeated rows: each row is judged
 alone, so equal rows get equal results. Empty table: empty result. Other columns of the input are dropped, so
-names cannot clash. A corpus without a usable reference keeps what passes the base rules.
+names cannot clash. A document whose own language has no reference (a language not listed, one with too few words, or
+none given) is not compared with other languages: it is kept if it passes the base rules, and its distances are null.
 """
 
 from __future__ import annotations
@@ -143,9 +144,13 @@ def verdicts(features: DataFrame, references: list[tuple[str, list[int], list[in
         F.when(size >= params.min_chars, c / class_limit).otherwise(0.0), F.when(F.col("n_words") >= params.min_words, w / word_limit).otherwise(0.0)
     )
     near = F.array_min(F.array(*[F.struct(far(c, w).alias("far"), c.alias("c"), w.alias("w")) for c, w in pairs]))
-    judged = features.withColumn("near", near)
+    known = F.coalesce(F.col("lang").isin([name for name, _, _ in references]), F.lit(False))
+    judged = features.withColumn("near", near).withColumn("known", known)
     return judged.select(
-        *base, F.col("near.c").alias("class_distance"), F.col("near.w").alias("word_distance"), (~F.col("base_failed") & (F.col("near.far") <= 1.0)).alias("kept")
+        *base,
+        F.when(F.col("known"), F.col("near.c")).alias("class_distance"),
+        F.when(F.col("known"), F.col("near.w")).alias("word_distance"),
+        (~F.col("base_failed") & (~F.col("known") | (F.col("near.far") <= 1.0))).alias("kept"),
     )
 
 

@@ -3,7 +3,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from gridloom.llm.quality import quality_rules
+from gridloom.llm.quality import keep_good, quality_rules
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -44,3 +44,14 @@ def test_divergence_parts_junk_from_prose(spark):
     kept = {r.quality: r.kept for r in got}
     assert kept[1] > 0.98
     assert kept[0] < 0.4
+
+
+def test_languages_without_a_reference_are_not_judged(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    foreign = " ".join(f"слово{i} ещё{i * 7}" for i in range(150))
+    odd = [(90_000, foreign, "ru"), (90_001, foreign, None), (90_002, foreign, "en"), (90_003, "слово " * 200, "ru")]
+    both = docs.union(spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    got = {r.doc_id: r for r in quality_rules(both).filter("doc_id >= 90000").collect()}
+    assert {i: r.kept for i, r in got.items()} == {90_000: True, 90_001: True, 90_002: False, 90_003: False}
+    assert got[90_000].class_distance is None and got[90_002].class_distance is not None
+    assert {r.doc_id for r in keep_good(both).filter("doc_id >= 90000").collect()} == {90_000, 90_001}
