@@ -22,7 +22,7 @@ from itertools import accumulate, combinations, count
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridloom.llm.common import discard, map_batches, materialize
@@ -59,14 +59,15 @@ def _fingerprint_batches(shingle: int):
         for batch in batches:
             texts = batch.column(1).cast(pa.binary())
             found = np.fromiter((text_fingerprint(t.as_py() or b"", shingle) for t in texts), np.uint64, len(texts))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(found.view(np.int64))], names=["doc_id", *batch.schema.names[2:], "fp"])
 
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long. Each text is read once, where it lies."""
-    return map_batches(docs.select(F.col("doc_id").cast("long"), "text"), _fingerprint_batches(shingle), "doc_id long, fp long")
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, keep (longs) and fp, the fingerprint as a signed long. Each text is read once, where it lies."""
+    schema = "".join(f"{x} long, " for x in ("doc_id", *keep)) + "fp long"
+    return map_batches(docs.select(F.col("doc_id").cast("long"), "text", *keep), _fingerprint_batches(shingle), schema)
 
 
 def links(distinct: DataFrame, max_block: int = 64) -> DataFrame:
@@ -117,15 +118,20 @@ def connected(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, max_block: int = 64) -> DataFrame:
-    """doc_id, fp (signed long) and component_id of every document."""
-    prints = materialize(fingerprints(docs, shingle), "simhash")
+def grouped(docs: DataFrame, shingle: int, max_block: int, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, keep, fp, root and component_id of every document; root names the component even where no doc_id is known."""
+    prints = materialize(fingerprints(docs, shingle, keep), "simhash")
     classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-classes")
     roots = connected(links(classes.select("fp"), max_block)).withColumnRenamed("node", "fp")
     rooted = classes.join(roots, "fp", "left").select("fp", "rep", F.coalesce("root", "fp").alias("root"))
     low = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    named = rooted.join(low, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = rooted.join(low, "root").select("fp", "root", "component_id")
+    return prints.join(named, "fp").select("doc_id", *keep, "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, max_block: int = 64) -> DataFrame:
+    """doc_id, fp (signed long) and component_id of every document."""
+    return grouped(docs, shingle, max_block).select("doc_id", "fp", "component_id")
 
 
 def hexed(fp: str) -> Column:
@@ -133,7 +139,16 @@ def hexed(fp: str) -> Column:
 
 
 def keep_first(docs: DataFrame, shingle: int = 3, max_block: int = 64) -> DataFrame:
-    """docs without the documents whose group has a smaller doc_id. Only ids and fingerprints are shuffled by group."""
-    classes = near_duplicates(docs, shingle, max_block)
-    later = classes.filter("doc_id > component_id").select("doc_id").distinct()
-    return docs.join(later, "doc_id", "left_anti")
+    """One row of docs a group: of the smallest doc_id, rows without doc_id last; of equal ones, of the least text hash.
+
+    A row is known by doc_id and two hashes of its text. Copies in both are one row, the first by a hash of all columns;
+    each task drops its own before the one shuffle of the texts.
+    """
+    key = ("_keep_absent", "_keep_known", "_keep_hash", "_keep_more")
+    absent, known = F.col("doc_id").isNull().cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0))
+    keyed = docs.select("*", absent.alias("_keep_absent"), known.alias("_keep_known"), F.xxhash64("text").alias("_keep_hash"), F.hash("text").cast("long").alias("_keep_more"))
+    first = grouped(keyed, shingle, max_block, key).groupBy("root").agg(F.min(F.struct(*key)).alias("k")).select("k.*")
+    hashed = [name for name, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
+    copies = Window.partitionBy(*key).orderBy(F.xxhash64(*hashed))
+    single = keyed.withColumn("_keep_copy", F.row_number().over(copies)).filter("_keep_copy = 1").drop("_keep_copy")
+    return single.join(first, list(key), "left_semi").select(*docs.columns)

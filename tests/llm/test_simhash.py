@@ -5,7 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from gridloom.llm.simhash import connected, fingerprints, links, near_duplicates
+from gridloom.llm.simhash import connected, fingerprints, keep_first, links, near_duplicates
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -76,3 +76,14 @@ def test_unstable_components_are_not_returned(spark):
     with pytest.raises(RuntimeError, match="not stable after 1 rounds"):
         connected(edges, rounds=1)
     assert {x.root for x in connected(edges).collect()} == {0}
+
+
+def test_one_row_of_a_group_stays(spark):
+    words = lambda seed: " ".join(random.Random(f"{seed}{i}").choice("abcdefghij") * 3 + str(i) for i in range(80))
+    a, b, c, d = (words(x) for x in "abcd")
+    rows = [(1, a, "x"), (1, a, "x"), (1, a.upper(), "y"), (2, a, "x"), (None, a, "x"), (None, b, "x"), (None, b, "x"), (None, b, "y"), (2, c, "x"), (3, c, "x"), (None, d, "x"), (5, d, "x"), (6, None, "x"), (6, "", "x")]
+    docs = spark.createDataFrame(rows * 3, "doc_id long, text string, source string").repartition(5)
+    got = keep_first(docs).collect()
+    assert sorted((r.doc_id or 0, (r.text or "").lower()) for r in got) == sorted([(1, a), (0, b), (2, c), (5, d), (6, "")])
+    assert keep_first(docs).columns == docs.columns
+    assert keep_first(docs.limit(0)).count() == 0
