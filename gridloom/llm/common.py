@@ -1,70 +1,63 @@
-"""What the operators share: the word rule, tables in the cluster's shared folder, and ranges of a key."""
+"""What the operators share: the word rule, batches of bounded size, and ranges of a key."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridloom.staging import discard
+from gridloom.staging import stage as materialize
+
+__all__ = ["BATCH_BYTES", "MAX_PARTS", "WORD", "by_counted_key", "discard", "map_batches", "materialize", "part_of", "range_bounds", "spare"]
+
 #: A word is a run of characters other than ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Most parts that `range_bounds` makes; beyond it the parts grow instead, and windows over them spill.
 MAX_PARTS = 16_384
 
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; one of our own only where that is unset (tests, one machine)."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="gridloom-")
-        spark.sparkContext.setCheckpointDir(found)
-        found = spark.sparkContext.getCheckpointDir()
-    return found.rstrip("/")
-
-
 #: Bytes of an Arrow batch. A batch lies in the executor and in its Python worker, some of it twice.
 BATCH_BYTES = 4 << 20
 
 
 def map_batches(df: DataFrame, run, schema: str) -> DataFrame:
-    """mapInArrow with batches of bounded bytes, so very long texts do not add up in memory. The bound is a session setting."""
+    """mapInArrow with batches of bounded bytes, so very long texts do not add up in memory.
+
+    The bound is a session setting that Spark reads when the plan runs, so it is lowered for the session, never raised.
+    """
     name = "spark.sql.execution.arrow.maxBytesPerBatch"
-    if int(df.sparkSession.conf.get(name).rstrip("b")) > BATCH_BYTES:
-        df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    spark = df.sparkSession
+    if spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(name)) > BATCH_BYTES:
+        spark.conf.set(name, str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
 
 
-def materialize(df: DataFrame, tag: str, compression: str = "snappy", by: str | None = None) -> DataFrame:
-    """Write df once to the shared folder and read it back: this cuts the lineage, and lost executors do not lose it.
-
-    The table goes when the application ends, or with `discard`.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    writer = df.write.option("compression", compression)
-    (writer.partitionBy(by) if by else writer).parquet(path)
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(where)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._gridloom_path = path
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names for helper columns that no column of df has, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"{name}_"
+        taken.add(name.lower())
+        out.append(name)
     return out
 
 
-def discard(*frames: DataFrame) -> None:
-    """Delete tables of `materialize` that no later plan reads."""
-    for df in frames:
-        if path := getattr(df, "_gridloom_path", None):
-            spark = df.sparkSession
-            where = spark._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+#: Most keys that `by_counted_key` broadcasts.
+FREQUENT = 50_000
 
 
-def release(spark: SparkSession) -> None:
-    """Let the driver's cleaner drop the shuffle files of finished jobs now, not at its next collection."""
-    spark._jvm.System.gc()
+def by_counted_key(rows: DataFrame, counts: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """Inner join on keys, where counts has one row a key and `many`, the number of its rows among the `total` of rows.
+
+    Keys with over total / FREQUENT rows (1000 at least) are broadcast, and there can be at most FREQUENT of them; the
+    others are joined by a shuffle, in which no key is large. So no task gets a key that holds much of the table.
+    """
+    limit = max(1_000, total // FREQUENT)
+    frequent = F.broadcast(counts.filter(F.col("many") > limit))
+    rest = rows.join(frequent.select(*keys), keys, "left_anti").join(counts.filter(F.col("many") <= limit), keys)
+    return rows.join(frequent, keys).unionByName(rest)
 
 
 def range_bounds(df: DataFrame, key: str, rows_per_part: int) -> list[int]:
@@ -97,7 +90,3 @@ def part_of(key: Column, bounds: list[int]) -> Column:
     block = below(literal([b[0] for b in blocks])) - 1
     cuts = F.get(F.array(*[literal(b) for b in blocks]), F.greatest(block, F.lit(0)))
     return F.when(block < 0, F.lit(0)).otherwise(block * step + below(cuts))
-
-
-def column_or_null(df: DataFrame, name: str, kind: str) -> Column:
-    return F.col(name).cast(kind) if name in df.columns else F.lit(None).cast(kind)

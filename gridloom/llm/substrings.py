@@ -5,20 +5,23 @@ hash of its six-word grams. Windows in a row that take one gram's hash form a se
 that occur once in the corpus cannot repeat; their segments are dropped after a count that is summed before the shuffle.
 The rest go to shards by name, so a shard sees all windows that could equal its own, and shards stay of one size.
 
-A shard builds an FM-index of its segments: suffixes sorted to the window's depth, their Burrows-Wheeler transform in a
-wavelet matrix of packed bits. Segments are streamed from right to left in step; backward search gives the row range of
-the current match, which is cut back by one word once it is a window long, so every position has its matching
-statistic up to that length. Where it reaches a window, the first occurrence in the range decides, and positions in a
-row are reported as an interval.
-
-A name with more than `max_group` segments (a passage that very many documents share) does not go to one shard: its
-windows are hashed whole (128 bits), and the first of each is a minimum that is taken before the shuffle. A segment that
-its own document has had before is settled in the document, and documents with equal texts by their whole text. All
-ways give the same rule's result.
+Equal segments are one before they travel: their first place is a minimum taken on both sides of the shuffle, and every
+other occurrence is removed whole. A shard builds an FM-index of its distinct segments, each standing for its first
+place: the Burrows-Wheeler transform of their suffixes, sorted to the window's depth, in a wavelet matrix of packed bits,
+bit vectors with ranks for where groups of rows begin, and a place only for groups that repeat. Segments are streamed from
+right to left in step; backward search gives the row range of the current match, which is cut back by one word once it
+is a window long, so every position has its matching statistic up to that length. Where it reaches a window, the first
+occurrence in the range decides, and positions in a row are reported as an interval.
+
+A name with more than `max_group` distinct segments (contexts of a passage that very many documents share) does not go to
+one shard: its windows are hashed whole (128 bits), and the first of each is again a minimum. Documents with equal
+texts (two independent hashes, 128 bits) are settled by their whole text. All ways give the same rule's result. Joins on
+keys that hold much of the table broadcast those keys, of which there are at most 50,000 whatever the input.
 
 Defined results. Null, empty, blank and short texts: nothing removed. A row without doc_id is kept whole and counts as no
 source. Rows with one doc_id are one document: only an earlier start counts among them, so equal rows remove nothing
-from each other. Empty table: empty result. Extra columns are dropped (`remove_repeats` keeps them).
+from each other. Very long texts: a batch of texts is held in memory, never more. Empty table: empty result. Extra columns
+are dropped; `remove_repeats` keeps them, whatever their names.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import discard, map_batches, materialize, release
+from gridloom.llm.common import by_counted_key, discard, map_batches, materialize, spare
 
 TOGETHER = 400_000
 
@@ -43,7 +46,7 @@ TOGETHER = 400_000
 class RepeatParams:
     window: int = 20
     gram: int = 6
-    #: Segments of one name that one shard may hold: with 26 words each, about 0.3 million words of a task's memory.
+    #: Distinct segments of one name that one shard may hold: with 26 words each, about 0.3 million words of a task's memory.
     max_group: int = 10_000
     words_per_shard: int = 200_000
 
@@ -117,21 +120,44 @@ def _name_segments(params: RepeatParams):
 # ---------------------------------------------------------------- FM-index
 
 
+class BitVector:
+    """Packed bits with the number of ones before each block of 64."""
+
+    def __init__(self, flags: np.ndarray):
+        packed = np.packbits(flags, bitorder="little")
+        self.blocks = np.concatenate([packed, np.zeros(-len(packed) % 8 + 8, np.uint8)]).view(np.uint64)
+        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.blocks), dtype=np.int64)[:-1]]).astype(np.int32)
+
+    def rank(self, at: np.ndarray) -> np.ndarray:
+        """Ones before at."""
+        block = at >> 6
+        inside = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[block] + np.bitwise_count(self.blocks[block] & inside).astype(np.int64)
+
+    def select(self, k: np.ndarray) -> np.ndarray:
+        """Where one number k, from 0 on, stands."""
+        block = np.searchsorted(self.before, k, side="right") - 1
+        left, bits, at = k - self.before[block], self.blocks[block], block << 6
+        for width in (32, 16, 8, 4, 2, 1):
+            low = bits & np.uint64((1 << width) - 1)
+            ones = np.bitwise_count(low)
+            above = left >= ones
+            left = left - np.where(above, ones, 0)
+            bits = np.where(above, bits >> np.uint64(width), low)
+            at = at + np.where(above, width, 0)
+        return at
+
+
 class WaveletMatrix:
-    """Ranks of symbols in a sequence, a packed bit plane for each bit of the alphabet."""
+    """Ranks of symbols in a sequence, a bit vector for each bit of the alphabet."""
 
     def __init__(self, sequence: np.ndarray, symbols: int):
         self.levels = max(1, int(symbols - 1).bit_length())
-        self.size = len(sequence)
-        self.planes, self.counts, self.zeros = [], [], []
+        self.planes, self.zeros = [], []
         now = sequence
         for level in reversed(range(self.levels)):
             bit = (now >> level) & 1 == 1
-            packed = np.packbits(bit, bitorder="little")
-            packed = np.concatenate([packed, np.zeros(-len(packed) % 8 + 8, np.uint8)]).view(np.uint64)
-            ones = np.bitwise_count(packed).astype(np.int64)
-            self.planes.append(packed)
-            self.counts.append(np.concatenate([[0], np.cumsum(ones)[:-1]]))
+            self.planes.append(BitVector(bit))
             zeros = now[~bit]
             self.zeros.append(len(zeros))
             now = np.concatenate([zeros, now[bit]])
@@ -139,9 +165,7 @@ class WaveletMatrix:
     def rank(self, symbol: np.ndarray, at: np.ndarray, first: np.ndarray) -> np.ndarray:
         """How often each symbol stands before at. first: where its run begins in the last plane's order."""
         for i, level in enumerate(reversed(range(self.levels))):
-            block = at >> 6
-            inside = (np.uint64(1) << (at & 63).astype(np.uint64)) - np.uint64(1)
-            ones = self.counts[i][block] + np.bitwise_count(self.planes[i][block] & inside)
+            ones = self.planes[i].rank(at)
             at = np.where((symbol >> level) & 1 == 1, self.zeros[i] + ones, at - ones)
         return at - first
 
@@ -152,7 +176,11 @@ class WaveletMatrix:
 
 
 class FmIndex:
-    """Of a text of integers from 1 on, with 0 after each segment; patterns of up to `depth` (2 or more) symbols."""
+    """Of a text of integers from 1 on, with 0 after each segment; patterns of up to `depth` (2 or more) symbols.
+
+    Kept are the transform's planes, a bit a row where a group of rows sharing depth - 1 symbols begins, a bit a row where
+    a group of two or more rows sharing depth symbols begins, and those groups' first positions. The suffix array is not.
+    """
 
     def __init__(self, text: np.ndarray, symbols: int, depth: int):
         self.depth, n = depth, len(text)
@@ -167,16 +195,16 @@ class FmIndex:
         self.first = self.transform.firsts(symbols)
         self.before = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=symbols))])
         self.size = n
-        # First position of each group of rows that share `depth` symbols; bounds of groups that share one symbol less.
         key = key[rows]
-        new = np.concatenate([[True], key[1:] != key[:-1]])
+        begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         del key
-        self.group = np.cumsum(new, dtype=np.int32) - 1
-        self.earliest = np.minimum.reduceat(rows, np.flatnonzero(new))
+        shared = np.diff(np.append(begins, n)) > 1
+        at = np.zeros(n + 1, bool)
+        at[begins[shared]] = True
+        self.repeated = BitVector(at)
+        self.earliest = np.minimum.reduceat(rows, begins)[shared]
         c, d = half[rows], half[rows + (depth - 1 - size)]
-        parent = np.concatenate([[True], (c[1:] != c[:-1]) | (d[1:] != d[:-1])])
-        self.parent = np.cumsum(parent, dtype=np.int32) - 1
-        self.parent_at = np.append(np.flatnonzero(parent), n)
+        self.parents = BitVector(np.concatenate([[True], (c[1:] != c[:-1]) | (d[1:] != d[:-1]), [True]]))
 
     @staticmethod
     def _rank_pairs(rank: np.ndarray, size: int) -> np.ndarray:
@@ -192,12 +220,19 @@ class FmIndex:
 
     def shorten(self, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Row ranges of matches of `depth` symbols without their last one."""
-        group = self.parent[low]
-        return self.parent_at[group], self.parent_at[group + 1]
+        group = self.parents.rank(low + 1)
+        return self.parents.select(group - 1), self.parents.select(group)
+
+    def first_place(self, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """First position of each match of `depth` symbols; -1 where it occurs once."""
+        found = np.full(len(low), -1, np.int64)
+        many = np.flatnonzero(high - low > 1)
+        found[many] = self.earliest[self.repeated.rank(low[many])]
+        return found
 
 
-def repeated_windows(parts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(segment, place in it, position of the first equal window) of windows that equal an earlier one, and each segment's position.
+def repeated_windows(parts: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where each segment begins in the text of all, and for every position the first one with an equal window, -1 for none.
 
     Segments are streamed through the index from their right ends, all in step."""
     words = [p.split() for p in parts]
@@ -222,32 +257,34 @@ def repeated_windows(parts: list[bytes], window: int) -> tuple[np.ndarray, np.nd
         lo, hi = index.extend(lo, hi, text[at])
         low[:active], high[:active] = lo, hi
         if step >= window - 1:
-            earliest[at] = index.earliest[index.group[lo]]
-    return text, begins, earliest
+            earliest[at] = index.first_place(lo, hi)
+    return begins, earliest
+
+
+_SPAN = "k1 long, k2 long, s int, e int"
 
 
 def _search(window: int):
+    """Rows shard, k1, k2, part by shard and first place -> intervals of a segment whose windows stand in an earlier one."""
+
     def flush(rows: list[tuple]) -> pa.RecordBatch:
-        ids, hashes, starts, parts = zip(*rows, strict=True)
-        _, begins, earliest = repeated_windows(list(parts), window)
+        k1, k2, parts = zip(*rows, strict=True)
+        begins, earliest = repeated_windows(list(parts), window)
         segment = np.searchsorted(begins, np.arange(len(earliest)), side="right") - 1
         place = np.arange(len(earliest)) - begins[segment]
-        doc, start = np.array(ids, np.int64), np.array(starts, np.int64)
-        was = np.maximum(earliest, 0)
-        d, s = doc[segment], start[segment] + place
-        d0, s0 = d[was], s[was]
-        hit = (earliest >= 0) & ((d0 < d) | ((d0 == d) & (s0 < s)))
+        # Segments stand in the order of their first places, so an earlier position is an earlier start.
+        hit = (earliest >= 0) & (earliest < np.arange(len(earliest)))
         edge = np.diff(np.concatenate([[0], hit.view(np.int8), [0]]))
         first, last = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1
-        th = np.array(hashes, np.int64)
+        k1, k2 = np.array(k1, np.int64), np.array(k2, np.int64)
         return pa.RecordBatch.from_arrays(
-            [pa.array(d[first]), pa.array(th[segment[first]]), pa.array(s[first].astype(np.int32)), pa.array((s[last] + window).astype(np.int32))], names=["doc_id", "th", "s", "e"]
+            [pa.array(k1[segment[first]]), pa.array(k2[segment[first]]), pa.array(place[first].astype(np.int32)), pa.array((place[last] + window).astype(np.int32))], names=["k1", "k2", "s", "e"]
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, rows = None, []
         for batch in batches:
-            for k, *row in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            for k, *row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
                 if k != shard and rows:
                     yield flush(rows)
                     rows = []
@@ -261,100 +298,116 @@ def _search(window: int):
 
 # ---------------------------------------------------------------- the whole job
 
-_CUT = "kind int, shard int, doc_id long, th long, start int, part binary, k1 long, k2 long"
-#: Kinds of rows: a segment for its shard, a hashed window of a hot name, a span settled inside its document.
-COLD, HOT, OWN = 0, 1, 2
+_CUT = "doc_id long, th long, start int, n int, name long, k1 long, k2 long, part binary"
+_WINDOWS = "k1 long, k2 long, doc0 long, place int, at int, w1 long, w2 long"
+
+
+def _halves(digest: int) -> tuple[int, int]:
+    return (digest >> 64) - (1 << 63), (digest & ((1 << 64) - 1)) - (1 << 63)
+
+
+def _batches(rows: Iterator[tuple], schema: str, weight) -> Iterator[pa.RecordBatch]:
+    """Rows as batches of a few MB."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+    fields = [f.split() for f in schema.split(", ")]
+    block, size = [], 0
+
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, kinds[k]) for c, (_, k) in zip(zip(*block, strict=True), fields, strict=True)], names=[n for n, _ in fields])
+
+    for row in rows:
+        block.append(row)
+        size += weight(row)
+        if size > 4_000_000:
+            yield batch()
+            block, size = [], 0
+    if block:
+        yield batch()
 
 
 def _cut_segments(window: int):
-    """Words of each candidate segment, or hashes of its windows where its name is hot.
-
-    A segment that its document has had before is settled here: only the first of equal segments travels."""
-    kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.int64())
-    names = [c.split()[0] for c in _CUT.split(", ")]
-    half = (1 << 64) - 1
-
-    def of_document(words: list[bytes], found: list[dict]) -> Iterator[tuple]:
-        had: set[bytes] = set()
-        own = None
-        for x in sorted(found, key=lambda x: x["start"]):
-            start, end = x["start"], x["start"] + x["n"] + window - 1
-            part = b" ".join(words[start:end])
-            if part in had:
-                if own and start <= own[1]:
-                    own[1] = max(own[1], end)
-                else:
-                    if own:
-                        yield OWN, -1, own[0], None, own[1], None
-                    own = [start, end]
-                continue
-            had.add(part)
-            if x["shard"] >= 0:
-                yield COLD, x["shard"], start, part, None, None
-                continue
-            for j in range(start, start + x["n"]):
-                h = xxhash.xxh3_128_intdigest(b" ".join(words[j : j + window]))
-                yield HOT, -1, j, None, (h >> 64) - (1 << 63), (h & half) - (1 << 63)
-        if own:
-            yield OWN, -1, own[0], None, own[1], None
+    """Words and their hash of each found segment of a document."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             texts = batch.column(2).cast(pa.binary())
-            out: list[list] = [[] for _ in kinds]
-            size = 0
             for i, (doc, th) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)):
-                for kind, shard, start, part, k1, k2 in of_document(texts[i].as_py().split(), batch.column(3)[i].as_py()):
-                    size += len(part or b"") + 50
-                    for c, v in zip(out, (kind, shard, doc, th, start, part, k1, k2), strict=True):
-                        c.append(v)
-                if size > 4_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
-                    out, size = [[] for _ in kinds], 0
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)], names=names)
+                words = texts[i].as_py().split()
+                for x in batch.column(3)[i].as_py():
+                    part = b" ".join(words[x["start"] : x["start"] + x["n"] + window - 1])
+                    yield doc, th, x["start"], x["n"], x["name"], *_halves(xxhash.xxh3_128_intdigest(part)), part
 
-    return run
+    return lambda batches: _batches(rows(batches), _CUT, lambda row: len(row[-1]) + 60)
+
+
+def _cut_windows(window: int):
+    """Every window of a segment by its hash."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            for k1, k2, doc, start, part in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = part.split()
+                for at in range(len(words) - window + 1):
+                    yield k1, k2, doc, start + at, at, *_halves(xxhash.xxh3_128_intdigest(b" ".join(words[at : at + window])))
+
+    return lambda batches: _batches(rows(batches), _WINDOWS, lambda row: 60)
 
 
 def _later_copies(keyed: DataFrame) -> DataFrame:
     """doc_id and th of documents whose whole text also stands under a smaller doc_id."""
-    texts = keyed.select("doc_id", "th", F.xxhash64("text", F.lit(1)).alias("th2"))
-    first = texts.groupBy("th", "th2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("last > first")
-    return texts.join(first, ["th", "th2"]).filter("doc_id > first").select("doc_id", "th").distinct()
+    texts = keyed.select("doc_id", "th", F.xxhash64(F.lit(1), "text").alias("th2"))  # the text's hash from another seed
+    first = texts.groupBy("th", "th2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("many")).filter("last > first")
+    first = materialize(first.drop("last"), "repeat-texts")
+    return by_counted_key(texts, first, ["th", "th2"], texts.count()).filter("doc_id > first").select("doc_id", "th").distinct()
+
+
+def _segment_spans(distinct: DataFrame, params: RepeatParams) -> DataFrame:
+    """k1, k2 and spans (s, e) of words that stand in a window of an earlier distinct segment, of segments that have any."""
+    spark, window = distinct.sparkSession, params.window
+    names = materialize(distinct.groupBy("name").agg(F.count("*").alias("many"), F.sum("n").alias("n")).filter("many > 1"), "repeat-groups")
+    few = names.filter(F.col("many") <= params.max_group)
+    total = few.agg(F.sum(F.col("n") + F.col("many") * (window - 1))).first()[0] or 0
+    shards = max(1, total // params.words_per_shard)
+    near = by_counted_key(distinct.select("name", "k1", "k2", "doc0", "start0", "part"), names.select("name", "many"), ["name"], distinct.count())
+    cold = near.filter(F.col("many") <= params.max_group).withColumn("shard", F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int"))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cold = cold.select("shard", "k1", "k2", "part", "doc0", "start0").repartition(tasks, "shard").sortWithinPartitions("shard", "doc0", "start0").drop("doc0", "start0")
+    spans = map_batches(cold, _search(window), _SPAN)
+    if not names.filter(F.col("many") > params.max_group).isEmpty():
+        hot = near.filter(F.col("many") > params.max_group).select("k1", "k2", "doc0", "start0", "part")
+        windows = materialize(map_batches(hot, _cut_windows(window), _WINDOWS), "repeat-windows")
+        first = windows.groupBy("w1", "w2").agg(F.min(F.struct("doc0", "place")).alias("first"), F.count("*").alias("many")).filter("many > 1")
+        later = by_counted_key(windows, materialize(first, "repeat-first"), ["w1", "w2"], windows.count()).filter(F.struct("doc0", "place") > F.col("first"))
+        spans = spans.union(later.select("k1", "k2", F.col("at").alias("s"), (F.col("at") + window).alias("e")))
+    return materialize(spans.groupBy("k1", "k2").agg(F.collect_set(F.struct("s", "e")).alias("spans")), "repeat-matches")
 
 
 def repeat_spans(docs: DataFrame, params: RepeatParams = RepeatParams()) -> DataFrame:
     """doc_id, th (the text's hash), copy (the whole text is a later copy) and spans (s, e) of words to remove, for documents that have any."""
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("th"), "text").filter("doc_id is not null and text is not null")
     copies = materialize(_later_copies(keyed), "repeat-copies")
-    named = map_batches(keyed.select("doc_id", "th", "text"), _name_segments(params), "doc_id long, th long, start int, n int, name long")
+    named = materialize(map_batches(keyed, _name_segments(params), "doc_id long, th long, start int, n int, name long"), "repeat-named", compression="zstd")
     counts = materialize(named.groupBy("name").agg(F.count("*").alias("many")).filter("many > 1"), "repeat-names")
-    release(docs.sparkSession)
-    total = counts.filter(F.col("many") <= params.max_group).agg(F.sum("many")).first()[0] or 0
-    shards = max(1, total * (params.window + 7) // params.words_per_shard)
-    shard = F.when(F.col("many") <= params.max_group, F.pmod(F.xxhash64("name"), F.lit(shards)).cast("int")).otherwise(F.lit(-1))
-    kept = named.join(counts, "name").select("doc_id", "th", F.struct("start", "n", shard.alias("shard")).alias("x"))
-    found = materialize(kept.groupBy("doc_id", "th").agg(F.collect_set("x").alias("found")).join(copies, ["doc_id", "th"], "left_anti"), "repeat-found")
-    discard(counts)
-    release(docs.sparkSession)
-    rows = map_batches(keyed.join(found, ["doc_id", "th"]).select("doc_id", "th", "text", "found"), _cut_segments(params.window), _CUT)
-    path = materialize(rows.select("shard", "doc_id", "th", "start", "part", "k1", "k2", "kind"), "repeat-segments", compression="zstd", by="kind")
+    kept = by_counted_key(named, counts, ["name"], named.count()).groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "n", "name")).alias("found"))
+    found = materialize(kept.join(copies, ["doc_id", "th"], "left_anti"), "repeat-found")
+    discard(named, counts)
+    rows = keyed.join(found, ["doc_id", "th"]).select("doc_id", "th", "text", "found")
+    rows = materialize(map_batches(rows, _cut_segments(params.window), _CUT), "repeat-segments", compression="zstd")
     discard(found)
-    release(docs.sparkSession)
-    parts = docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    cold = path.filter(F.col("kind") == COLD).select("shard", "doc_id", "th", "start", "part").repartition(int(parts), "shard").sortWithinPartitions("shard", "doc_id", "start")
-    cold = map_batches(cold, _search(params.window), "doc_id long, th long, s int, e int")
-    hot = path.filter(F.col("kind") == HOT).select("k1", "k2", "doc_id", "th", "start")
-    first = hot.groupBy("k1", "k2").agg(F.min(F.struct("doc_id", "start")).alias("first"))
-    later = F.struct(F.col("doc_id"), F.col("start")) > F.col("first")
-    hot = hot.join(first, ["k1", "k2"]).filter(later).select("doc_id", "th", F.col("start").alias("s"), (F.col("start") + params.window).alias("e"))
-    own = path.filter(F.col("kind") == OWN).select("doc_id", "th", F.col("start").alias("s"), F.col("k1").cast("int").alias("e"))
-    spans = cold.union(hot).union(own).groupBy("doc_id", "th").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
-    whole = copies.select("doc_id", "th", F.lit(True).alias("copy"), F.lit(None).cast("array<struct<s:int,e:int>>").alias("spans"))
-    out = materialize(spans.select("doc_id", "th", F.lit(False).alias("copy"), "spans").union(whole), "repeat-spans")
-    discard(path, copies)
-    release(docs.sparkSession)
+    first = F.min(F.struct("doc_id", "start")).alias("at")
+    distinct = rows.groupBy("k1", "k2").agg(first, F.count("*").alias("many"), F.first("name").alias("name"), F.first("n").alias("n"), F.first("part").alias("part"))
+    distinct = materialize(distinct.select("k1", "k2", "name", "n", "many", F.col("at.doc_id").alias("doc0"), F.col("at.start").alias("start0"), "part"), "repeat-distinct", compression="zstd")
+    matches = _segment_spans(distinct, params)
+    known = distinct.select("k1", "k2", "many", "doc0", "start0").join(matches, ["k1", "k2"], "left").filter("many > 1 or spans is not null")
+    known = materialize(known, "repeat-known")
+    place = by_counted_key(rows.select("doc_id", "th", "start", "n", "k1", "k2"), known, ["k1", "k2"], rows.count())
+    whole = F.array(F.struct(F.col("start").alias("s"), (F.col("start") + F.col("n") + (params.window - 1)).alias("e")))
+    part = F.transform("spans", lambda x: F.struct((x["s"] + F.col("start")).alias("s"), (x["e"] + F.col("start")).alias("e")))
+    later = F.struct("doc_id", "start") > F.struct("doc0", "start0")
+    spans = place.select("doc_id", "th", F.explode(F.when(later, whole).otherwise(part)).alias("x")).groupBy("doc_id", "th").agg(F.collect_set("x").alias("spans"))
+    gone = copies.select("doc_id", "th", F.lit(True).alias("copy"), F.lit(None).cast("array<struct<s:int,e:int>>").alias("spans"))
+    out = materialize(spans.select("doc_id", "th", F.lit(False).alias("copy"), "spans").union(gone), "repeat-spans")
+    discard(rows, distinct, matches, known, copies)
     return out
 
 
@@ -372,8 +425,11 @@ def kept_words(words: list[bytes], copy: bool | None, spans, window: int) -> lis
 
 
 def _joined(docs: DataFrame, spans: DataFrame, columns: list[str]) -> DataFrame:
-    keyed = docs.select(*columns, F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_th"))
-    return keyed.join(spans.select(F.col("doc_id").alias("_id"), F.col("th").alias("_th"), "copy", "spans"), ["_id", "_th"], "left").select(*columns, F.col("copy").alias("_copy"), F.col("spans").alias("_spans"))
+    """columns of docs, then copy and spans; helper columns take names that docs does not have."""
+    ident, th, copy, found = spare(docs, "_id", "_th", "_copy", "_spans")
+    keyed = docs.select(*columns, F.col("doc_id").cast("long").alias(ident), F.xxhash64("text").alias(th))
+    marks = spans.select(F.col("doc_id").alias(ident), F.col("th").alias(th), F.col("copy").alias(copy), F.col("spans").alias(found))
+    return keyed.join(marks, [ident, th], "left").select(*columns, copy, found)
 
 
 def repeat_report(docs: DataFrame, params: RepeatParams = RepeatParams()) -> DataFrame:
