@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridloom.llm.quality import MARKS, QualityParams, vocabulary
+from gridloom.llm.quality import MARKS, QualityParams
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -20,31 +20,33 @@ FROM docs d LEFT JOIN kept k USING (doc_id)
 
 
 def quality_sql(p: QualityParams = QualityParams()) -> str:
-    quoted = lambda xs: ", ".join("'" + x.replace("'", "''") + "'" for x in xs)
-    known = vocabulary(p)
-    forms = [w + m for k in known for w in (k, k.capitalize()) for m in ("", *MARKS)]
     removed = lambda keep: f"length(regexp_replace(t, '[^{keep}]', '', 'g'))"
     js = lambda a, n, b, m: (
         f"sqrt(greatest(0, list_sum(list_transform(list_zip({a}, {b}), lambda z: "
         f"(CASE WHEN z[1] > 0 THEN z[1] / {n} * log2(2 * (z[1] / {n}) / (z[1] / {n} + z[2] / {m})) ELSE 0 END + CASE WHEN z[2] > 0 THEN z[2] / {m} * log2(2 * (z[2] / {m}) / (z[1] / {n} + z[2] / {m})) ELSE 0 END) / 2))))"
     )
+    sums = lambda c, n: ", ".join(f"sum({c}[{i}])" for i in range(1, n + 1))
     return rf"""
 WITH docs AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS} AS ws FROM documents),
 grams AS (SELECT doc_id, unnest(range(1, len(ws) - 1)) AS p, ws FROM docs WHERE len(ws) >= 3),
 again AS (SELECT doc_id, p, count(*) OVER (PARTITION BY doc_id, ws[p], ws[p+1], ws[p+2]) AS n FROM grams),
 repeats AS (SELECT doc_id, count(DISTINCT i) AS n FROM (SELECT doc_id, unnest([p, p+1, p+2]) AS i FROM again WHERE n > 1) GROUP BY 1),
-lined AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM docs),
-base AS (SELECT l.doc_id, lang, t, ws, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+lined AS (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls,
+  list_filter(list_transform(ws, lambda w: rtrim(lower(w), '{MARKS}')), lambda w: w <> '') AS fs FROM docs),
+langs AS (SELECT lang FROM docs WHERE lang IS NOT NULL GROUP BY 1 HAVING count(*) >= {p.min_share} * (SELECT count(*) FROM docs)),
+stood AS (SELECT lang, unnest(list_distinct(fs)) AS w FROM lined SEMI JOIN langs USING (lang)),
+ranked AS (SELECT lang, w, row_number() OVER (PARTITION BY lang ORDER BY count(*) DESC, w) AS r FROM stood GROUP BY 1, 2),
+vocabulary AS (SELECT lang, list(w ORDER BY r) AS vs FROM ranked WHERE r <= {p.common_words} GROUP BY 1),
+base AS (SELECT l.doc_id, lang, t, ws, fs, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
   CAST({removed('#*$%&|<>')} AS BIGINT) AS n_symbols, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words
   FROM lined l LEFT JOIN repeats r USING (doc_id)),
 hist AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, {removed(r'\p{Ll}')} AS a, {removed(r'\p{Lu}')} AS b, {removed(r'\p{N}')} AS c, length(t) - word_chars AS d,
-  {removed(r".,;:!?''\"()\-")} AS e, list_transform(list_filter(ws, lambda w: w IN ({quoted(forms)})), lambda w: lower(rtrim(w, '{MARKS}'))) AS hits FROM base),
-feats AS (SELECT *, [a, b, c, d, e, word_chars - a - b - c - e] AS cs, list_concat(list_transform([{quoted(known)}], lambda k: len(list_filter(hits, lambda h: h = k))), [n_words - len(hits)]) AS hs FROM hist),
-refs AS (SELECT lang, [{', '.join(f'sum(cs[{i}])' for i in range(1, 7))}] AS rc, [{', '.join(f'sum(hs[{i}])' for i in range(1, len(known) + 2))}] AS rh, sum(n_words) AS n FROM feats
-  WHERE NOT base_failed AND lang IN ({quoted(p.languages)}) GROUP BY 1 HAVING sum(n_words) >= {p.min_reference_words}),
-near AS (SELECT f.doc_id, min(greatest(
-   CASE WHEN list_sum(cs) >= {p.min_chars} THEN {js('cs', 'list_sum(cs)', 'rc', 'list_sum(rc)')} / ({p.class_base} + {p.class_slack} / sqrt(list_sum(cs))) ELSE 0 END,
-   CASE WHEN n_words >= {p.min_words} THEN {js('hs', 'n_words', 'rh', 'r.n')} / ({p.word_base} + {p.word_slack} / sqrt(n_words)) ELSE 0 END)) AS far
-  FROM feats f, refs r WHERE NOT f.base_failed GROUP BY 1)
-SELECT f.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(n.far, 0) <= 1 AS kept FROM feats f LEFT JOIN near n USING (doc_id)
+  {removed(r".,;:!?''\"()\-")} AS e, list_transform(vs, lambda k: len(list_filter(fs, lambda f: f = k))) AS cw FROM base LEFT JOIN vocabulary USING (lang)),
+feats AS (SELECT *, [a, b, c, d, e, word_chars - a - b - c - e] AS cs, list_append(cw, n_words - list_sum(cw)) AS hs FROM hist),
+refs AS (SELECT lang, [{sums('cs', 6)}] AS rc, list_filter([{sums('hs', p.common_words + 1)}], lambda x: x IS NOT NULL) AS rh, sum(n_words) AS n FROM feats
+  WHERE NOT base_failed AND hs IS NOT NULL GROUP BY 1 HAVING sum(n_words) >= {p.min_reference_words}),
+far AS (SELECT f.*, r.n, CASE WHEN list_sum(cs) >= {p.min_chars} THEN {js('cs', 'list_sum(cs)', 'rc', 'list_sum(rc)')} ELSE 0 END AS dc, CASE WHEN n_words >= {p.min_words} THEN {js('hs', 'n_words', 'rh', 'r.n')} ELSE 0 END AS dw
+  FROM feats f LEFT JOIN refs r USING (lang))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND (n IS NULL OR (dc <= {p.class_base} + {p.class_slack} / sqrt(list_sum(cs)) AND dw <= {p.word_base} + {p.word_slack} / sqrt(n_words))) AS kept FROM far
 """

@@ -18,7 +18,7 @@ def spread(df: DataFrame) -> DataFrame:
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from gridloom.llm.quality import quality_rules
 
-    return quality_rules(table(spark, sf_dir, "documents")).select(
+    return quality_rules(spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
 
