@@ -27,8 +27,6 @@ from gridloom.llm.common import WORD, discard, materialize
 
 SPACE = r"[\x20\x09-\x0D]+"
 MARKS = ".,;:!?"
-#: What ends a word in the common form, which has no marks behind it. A run of marks is tried once, from its beginning.
-ENDS = rf"(?:(?<![{MARKS}])[{MARKS}]++)?(?:[\x20\x09-\x0D]++|\z)"
 BASE = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 CLASSES = ("lower", "upper", "digit", "space", "punct", "other")
 
@@ -52,13 +50,11 @@ class QualityParams:
 
 
 def base_counts(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, keep, text, and the base columns of every whole text."""
+    """doc_id, keep, text, words, and the base columns of every whole text."""
     text = F.coalesce(F.col("text"), F.lit(""))
     one = docs.select("doc_id", *keep, text.alias("text"))
     two = one.withColumn("words", F.array_remove(F.split("text", SPACE), "")).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    n = F.size("hashes") - 2
-    pair = lambda a, b: F.zip_with(a, b, lambda x, y: F.xxhash64(x, y))
-    grams = F.when(n > 0, pair(pair(F.slice("hashes", 1, n), F.slice("hashes", 2, n)), F.slice("hashes", 3, n))).otherwise(F.array().cast("array<bigint>"))
+    grams = F.transform(F.slice("hashes", 1, F.greatest(F.size("hashes") - 2, F.lit(0))), lambda h, i: F.xxhash64(h, F.get("hashes", i + 1), F.get("hashes", i + 2)))
     three = two.withColumn("grams", grams).withColumn("lines", F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)))
     # Windows found again: sort (hash, place), keep those equal to a neighbour. Most texts have none and skip the sort.
     placed = F.when(F.size(F.array_distinct("grams")) < F.size("grams"), F.sort_array(F.transform("grams", lambda h, i: F.struct(h.alias("h"), i.alias("i")))))
@@ -71,6 +67,7 @@ def base_counts(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         "doc_id",
         *keep,
         "text",
+        "words",
         F.size("words").cast("bigint").alias("n_words"),
         F.length(F.regexp_replace("text", SPACE, "")).cast("bigint").alias("word_chars"),
         F.length(F.regexp_replace("text", r"[^#*$%&|<>]+", "")).cast("bigint").alias("n_symbols"),
@@ -79,9 +76,9 @@ def base_counts(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     ).withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
 
 
-def common_form(text: Column) -> Column:
-    """Words in lower case without marks behind them; words of marks alone are left out."""
-    return F.array_remove(F.split(F.lower(text), ENDS), "")
+def common_form(word: Column) -> Column:
+    """A word in lower case without marks behind it."""
+    return F.rtrim(F.lower(word), F.lit(MARKS))
 
 
 def learn_words(docs: DataFrame, params: QualityParams) -> DataFrame:
@@ -91,7 +88,8 @@ def learn_words(docs: DataFrame, params: QualityParams) -> DataFrame:
     """
     sizes = materialize(docs.filter("lang is not null").groupBy("lang").agg(F.count("*").alias("n")), "quality-languages")
     known = sizes.filter(F.col("n") >= params.min_share * docs.count()).select("lang")
-    words = docs.join(F.broadcast(known), "lang").select("lang", F.explode(F.array_distinct(common_form(F.coalesce("text", F.lit(""))))).alias("w"))
+    forms = F.array_distinct(F.transform(F.array_distinct(F.split(F.coalesce("text", F.lit("")), SPACE)), common_form))
+    words = docs.join(F.broadcast(known), "lang").select("lang", F.explode(forms).alias("w")).filter("w <> ''")
     counts = words.groupBy("lang", "w").agg(F.count("*").alias("n"))
     top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "w"))).filter(F.col("r") <= params.common_words)
     listed = F.transform(F.sort_array(F.collect_list(F.struct("r", "w"))), lambda x: x["w"])
@@ -103,7 +101,9 @@ def learn_words(docs: DataFrame, params: QualityParams) -> DataFrame:
 def histograms(counted: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """Adds classes and common: counts by character class, and by common word with the rest last (null without vocabulary)."""
     left = lambda keep: F.length(F.regexp_replace("text", f"[^{keep}]+", "")).cast("bigint")
-    place = F.array_remove(F.transform(common_form(F.col("text")), lambda w: F.array_position("vocabulary", w)), F.lit(0))
+    # common_words rows a language. Membership in a literal set costs next to nothing beside a search through an array.
+    words = [r[0] for r in vocabulary.select(F.explode("vocabulary")).distinct().collect()]
+    hits = F.sort_array(F.filter(F.transform("words", common_form), lambda w: w.isin(words))) if words else F.array().cast("array<string>")
     one = (
         counted.join(F.broadcast(vocabulary), "lang", "left")
         .withColumn("u", left(r"\p{Lu}"))
@@ -111,10 +111,15 @@ def histograms(counted: DataFrame, vocabulary: DataFrame) -> DataFrame:
         .withColumn("p", left(r".,;:!?'\"()\-"))
         .withColumn("l", F.col("word_chars") - F.length(F.regexp_replace("text", r"[\p{Ll}\x20\x09-\x0D]+", "")))
         .withColumn("s", F.length("text") - F.col("word_chars"))
-        .withColumn("hits", F.when(F.col("vocabulary").isNotNull(), place))
+        .withColumn("hits", hits)
+        .withColumn("met", F.array_distinct("hits"))
     )
-    of_word = F.transform(F.sequence(F.lit(1).cast("bigint"), F.size("vocabulary").cast("bigint")), lambda k: (F.size("hits") - F.size(F.array_remove("hits", k))).cast("bigint"))
-    common = F.when(F.col("vocabulary").isNotNull(), F.concat(of_word, F.array(F.col("n_words") - F.size("hits"))))
+    # In sorted words, a word's count is the way from the last place of the word before it to its own.
+    ends = F.transform("hits", lambda w, i: F.when(F.get("hits", i + 1) == w, F.lit(None).cast("int")).otherwise(i + 1))
+    one = one.withColumn("ends", F.concat(F.array(F.lit(0)), F.array_compact(ends)))
+    place = F.transform("vocabulary", lambda k: F.array_position("met", k).cast("int"))
+    one = one.withColumn("known", F.transform(place, lambda i: F.when(i > 0, F.get("ends", i) - F.get("ends", i - 1)).otherwise(0).cast("bigint")))
+    common = F.concat("known", F.array(F.col("n_words") - F.aggregate("known", F.lit(0).cast("bigint"), lambda a, x: a + x)))
     return one.withColumn("classes", F.array("l", "u", "d", "s", "p", F.col("word_chars") - F.col("l") - F.col("u") - F.col("d") - F.col("p"))).withColumn("common", common)
 
 
