@@ -6,13 +6,17 @@ work grows with lengths times buckets. Inside a bucket every document is padded
 token budget allows form a batch. Row numbers come from totals of parts of the doc_id order and a window inside a part,
 so a bucket that holds most rows is never gathered.
 
+A length is any integer column: tokens of the corpus pipeline, which counts them with the unigram tokenizer, or words plus
+one (`with_lengths`), which cost less. The budget is in the same unit.
+
 Boundaries are the best of all lengths, however many there are: d distinct lengths need d * d / 2 words at least, so the
 histogram grows with the square root of the corpus. Over `max_lengths` rows of it come to the driver a partition at a
 time, with the same result. Batches always hold whole documents.
 
-Defined results. A length is the number of words plus one for an end mark, so null, empty and blank texts have length 1.
-A document longer than the budget is a batch alone. Equal doc_ids are ordered by length. Fewer lengths than buckets: one
-bucket a length. Empty table: empty result. Extra columns are dropped.
+Defined results. Null, empty and blank texts have no words and length 1, for an end mark. A very long text, longer than the
+budget, is a batch alone. Equal doc_ids are ordered by length, null ones come first; repeated rows get neighbouring places.
+Fewer lengths than buckets: one bucket a length. Empty table: empty result. Columns not in `keep` are dropped; kept ones
+must not have a name of the result.
 """
 
 from __future__ import annotations
@@ -81,11 +85,13 @@ def length_histogram(rows: DataFrame, max_lengths: int) -> dict[int, int]:
     return {r["length"]: r["n"] for r in (counts.collect() if counts.count() <= max_lengths else counts.toLocalIterator())}
 
 
-def pack(docs: DataFrame, length: str = "n_tokens", buckets: int = 8, token_budget: int = 65_536, max_lengths: int = 50_000, rows_per_part: int = 4_000) -> DataFrame:
-    """doc_id, length, bucket, width, batch, slot and padding of every row of docs; `batch` is unique over all buckets."""
-    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(length).cast("long").alias("length")), "lengths")
+def pack(
+    docs: DataFrame, length: str = "n_words", buckets: int = 8, budget: int = 65_536, max_lengths: int = 50_000, rows_per_part: int = 4_000, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, keep, length, bucket, width, batch, slot and padding of every row of docs; `batch` is unique over all buckets."""
+    rows = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(length).cast("long").alias("length"), *keep), "lengths")
     widths = best_buckets(length_histogram(rows, max_lengths), buckets) or [1]
-    each = [max(1, token_budget // w) for w in widths]
+    each = [max(1, budget // w) for w in widths]
     edges = F.array(*[F.lit(w).cast("long") for w in widths])
     part = part_of(F.col("doc_id"), range_bounds(rows, "doc_id", rows_per_part))
     placed = rows.withColumn("part", part).withColumn("bucket", F.size(F.filter(edges, lambda w: w < F.col("length"))))
@@ -102,6 +108,7 @@ def pack(docs: DataFrame, length: str = "n_tokens", buckets: int = 8, token_budg
         .withColumn("width", pick(widths))
         .select(
             "doc_id",
+            *keep,
             "length",
             "bucket",
             "width",
@@ -112,7 +119,7 @@ def pack(docs: DataFrame, length: str = "n_tokens", buckets: int = 8, token_budg
     )
 
 
-def with_lengths(docs: DataFrame, name: str = "n_tokens") -> DataFrame:
+def with_lengths(docs: DataFrame, name: str = "n_words") -> DataFrame:
     """doc_id and the number of words plus one."""
     words = F.size(F.array_remove(F.split(F.coalesce("text", F.lit("")), SPACE), ""))
     return docs.select("doc_id", (words + 1).cast("long").alias(name))

@@ -6,7 +6,8 @@ A document goes to the shard in whose equal share of the total its middle lies.
 
 Defined results. Null and empty text: no bytes, so the size is the overhead alone. Equal doc_ids: ordered by checksum
 and size; equal rows take neighbouring slots. Null doc_ids come first. One document larger than a share fills its shard
-and the next ones may be empty. Empty table: empty result. Extra columns are dropped.
+and the next ones may be empty. Equal texts form no group under this law: copies go where their doc_ids lie, so that
+sizes stay equal whatever group of copies there is. Empty table: empty result. Extra columns are dropped.
 """
 
 from __future__ import annotations

@@ -7,7 +7,7 @@ best segmentation splits there, so distinct words are counted once per worker an
 
 Defined results. Null and empty text: 0 tokens. Blank text: the tokens of its spaces. Repeated rows: equal counts. Very
 long texts: memory for the dynamic programme is that of the longest word. Empty table: empty result. Extra columns are
-dropped.
+dropped, but those of `keep`.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from gridloom.llm.common import map_batches
 
@@ -109,15 +110,22 @@ class UnigramCounter:
 _counters: dict[int, UnigramCounter] = {}
 
 
-def token_counts(docs: DataFrame, vocabulary: UnigramVocabulary) -> DataFrame:
-    """doc_id and n_tokens. The vocabulary is sent to the workers once; its size is that of the tokenizer's file."""
+def token_counts(docs: DataFrame, vocabulary: UnigramVocabulary, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, keep and n_tokens. The vocabulary is sent to the workers once; its size is that of the tokenizer's file.
+
+    keep: columns of docs, but doc_id and n_tokens, that pass through.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    names = ["doc_id", *keep, "n_tokens"]
+    rows = docs.select("doc_id", "text", *[F.col(c).alias(f"_keep{i}") for i, c in enumerate(keep)])
+    kinds = docs.select(*[F.col(c) for c in keep]).schema if keep else []
+    schema = ", ".join(["doc_id long", *[f"`{k.name}` {k.dataType.simpleString()}" for k in kinds], "n_tokens long"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = sent.value
         counter = _counters.get(id(key)) or _counters.setdefault(id(key), UnigramCounter(key))
         for batch in batches:
             n = np.fromiter((counter.count(t.as_py()) for t in batch.column(1)), np.int64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n)], names=["doc_id", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[2:], pa.array(n)], names=names)
 
-    return map_batches(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long")
+    return map_batches(rows, run, schema)

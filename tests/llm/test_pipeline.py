@@ -3,6 +3,9 @@ import re
 import corpus_pipeline
 from pyspark.sql import functions as F
 
+from gridloom.llm.queries import tokenizer_path
+from gridloom.llm.tokens import UnigramCounter, load_vocabulary
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 DATA = "/root/testdata/sf0.01"
 
@@ -26,7 +29,11 @@ def test_stages_follow_each_other(spark):
     for r in cut.collect():
         assert r.n_chars == len(r.text)
     packed = corpus_pipeline.STAGES[-1][1](spark, cut, DATA)
-    assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in cut.select("doc_id").collect()}
+    counter = UnigramCounter(load_vocabulary(tokenizer_path(corpus_pipeline.PIECES)))
+    got = {r.doc_id: (r.text, r.length) for r in packed.collect()}
+    assert got == {r.doc_id: (r.text, counter.count(r.text) + 1) for r in cut.collect()}
+    loads = {r.batch: r.load for r in packed.groupBy("batch").agg(F.sum("width").alias("load")).collect()}
+    assert max(loads.values()) <= 65_536 and sorted(loads) == list(range(len(loads)))
 
 
 def test_toxic_documents_go(spark):

@@ -75,7 +75,7 @@ def test_packing_is_whole(spark, tiny):
     docs = docs.union(odd).withColumn("batch", F.lit("clash"))
     n = docs.count()
     for per_part, lengths in ((9, 50_000), (1_000_000, 100)):
-        rows = pack(with_lengths(docs), token_budget=4096, rows_per_part=per_part, max_lengths=lengths).collect()
+        rows = pack(with_lengths(docs), budget=4096, rows_per_part=per_part, max_lengths=lengths).collect()
         assert len(rows) == n and all(r.padding >= 0 and r.width == r.length + r.padding for r in rows)
         batches = {}
         for r in rows:
@@ -96,9 +96,34 @@ def test_one_long_document_leaves_the_boundaries_optimal(spark):
     hist = {k: lengths.count(k) for k in lengths}
     ls = sorted(hist)
     best = min(padding(hist, [*c, ls[-1]]) for c in combinations(ls[:-1], 2))
-    docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n_tokens long")
+    docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n_words long")
     for most in (50_000, 10):
         rows = pack(docs, buckets=3, max_lengths=most).collect()
         assert sorted(x.length for x in rows) == sorted(lengths)
         assert sum(x.padding for x in rows) == best
         assert {x.width for x in rows} <= set(lengths)
+
+
+def test_packing_matches_brute_force(spark, tiny):
+    docs = spark.read.parquet(f"{tiny}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(7000, None), (7001, ""), (7002, "w " * 9_000), (None, "x")], "doc_id long, text string")
+    docs = docs.union(odd)
+    rows = sorted((r.doc_id is not None, r.doc_id or 0, len((r.text or "").split()) + 1, r.text) for r in docs.collect())
+    hist = {}
+    for _, _, n, _ in rows:
+        hist[n] = hist.get(n, 0) + 1
+    edges = best_buckets(hist, 8)
+    want, first = [], 0
+    for b, width in enumerate(edges):
+        inside = [r for r in rows if (edges[b - 1] if b else 0) < r[2] <= width]
+        size = max(1, 4096 // width)
+        for i, (known, doc, n, text) in enumerate(inside):
+            want.append((doc if known else None, text, n, b, width, first + i // size, i % size, width - n))
+        first += -(-len(inside) // size)
+    sized = spark.createDataFrame([(doc if known else None, n, text) for known, doc, n, text in rows], "doc_id long, n_words long, text string")
+    plain = sorted((r.doc_id if r.doc_id is not None else -1, r.n_words) for r in with_lengths(docs).collect())
+    assert plain == sorted((doc if known else -1, n) for known, doc, n, _ in rows)
+    for per_part in (11, 100_000):
+        got = pack(sized, budget=4096, rows_per_part=per_part, keep=("text",))
+        assert got.columns == ["doc_id", "text", "length", "bucket", "width", "batch", "slot", "padding"]
+        assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
