@@ -1,7 +1,11 @@
 """The corpus pipeline: toxicity, quality rules, near-duplicates, repeated passages, packing.
 
-Each stage takes what the one before kept, with all columns of documents; the last returns batches. `run` writes each
-stage's result to the shared folder and reads it back, so a lost executor costs one stage's tasks at most.
+Each stage takes what the one before kept, with all columns of documents; the last returns batches with their text. `run`
+writes each stage's result to the shared folder and reads it back, so a lost executor costs one stage's tasks at most.
+
+Defined results, for every stage. Null and empty texts: toxicity leaves them, the quality rules drop them (under 50 words).
+Rows without doc_id or lang, repeated rows, ties and very long texts: as each operator's docstring says. Empty table: empty
+result. The stages return the columns of documents; a column more passes through all stages but the last.
 """
 
 from __future__ import annotations
@@ -11,6 +15,9 @@ from pyspark.sql import functions as F
 
 from gridloom.llm.common import materialize
 
+#: The tokenizer whose pieces the last stage counts; any sentencepiece model's path will do.
+PIECES = "piece_bpe_32k.model"
+
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents whose calibrated score reaches the threshold; trained on the labels of rows of docs."""
@@ -42,10 +49,14 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token-budget batches inside optimal length buckets."""
-    from gridloom.llm.packing import pack, with_lengths
-
-    return pack(with_lengths(docs))
+    """Batches of at most 65,536 tokens inside optimal length buckets: doc_id, text, its tokens plus an end mark as length,
+    and bucket, width, batch, slot and padding. Null and empty texts: length 1."""
+    from gridloom.llm.packing import pack
+    from gridloom.llm.queries import tokenizer_path
+    from gridloom.llm.tokens import load_vocabulary, token_counts
+
+    counted = token_counts(docs, load_vocabulary(tokenizer_path(PIECES)), keep=("text",))
+    return pack(counted.withColumn("n_tokens", F.col("n_tokens") + 1), "n_tokens", keep=("text",))
 
 
 STAGES = [
