@@ -17,6 +17,7 @@ TABLE_MARK = "לוח"
 YEAR_WORDS = ("ממוצע [0-9]{4}", "סוף [0-9]{4}", "[0-9]{4}")
 SYNONYMS = (("ושיעור", "ואחוז"), (r"(?U)\s+", " "), ("־", "-"))
 POINTS = "[֑-ׇ]"
+NAME_MARKS = "״\"׳'\\-*()"
 HEBREW = "[֐-׿]"
 
 
@@ -52,8 +53,9 @@ def compose(text: pd.Series) -> pd.Series:
     return text.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
-def clean_header(text: Column, nfc: bool = False) -> Column:
-    """A header without points, years, continuation and table marks. nfc: compose first (the only Python step)."""
+def clean_header(text: Column, nfc: bool = True) -> Column:
+    """A header without points, years, continuation and table marks. nfc: compose first (the only Python step); without it,
+    a header in decomposed letters never equals the same one composed."""
     out = F.regexp_replace(compose(text) if nfc else text, POINTS, "")
     for pattern, instead in SYNONYMS:
         out = F.regexp_replace(out, pattern, instead)
@@ -64,13 +66,18 @@ def clean_header(text: Column, nfc: bool = False) -> Column:
 
 def clean_text(text: Column, most: int = 200) -> Column:
     """A name without year ranges and table numbers, at most `most` characters, never empty."""
-    out = F.regexp_replace(F.regexp_replace(text, "[0-9]{4}-[0-9]{4}", ""), rf"(?U){TABLE_MARK}\s+[0-9]+\.[0-9]+", "")
+    out = F.regexp_replace(F.regexp_replace(text, "[0-9]{4}-[0-9]{4}", ""), rf"(?U){TABLE_MARK}\s+[0-9]+\.?[0-9]*", "")
     return F.coalesce(F.nullif(F.substring(squeeze(out), 1, most), F.lit("")), F.lit("unnamed"))
 
 
 def plain_text(text: Column) -> Column:
-    """Letters, digits and underscores with single spaces."""
-    return squeeze(F.regexp_replace(text, r"(?U)[^\w\s]", " "))
+    """Without the punctuation of names, with single spaces; what stood around a mark closes up."""
+    return squeeze(F.regexp_replace(text, f"[{NAME_MARKS}]", ""))
+
+
+def percent_text(share: Column, digits: int = 1) -> Column:
+    """12.5 -> 12.5%"""
+    return F.format_string(f"%.{digits}f%%", share.cast("double"))
 
 
 def looks_repetitive(text: Column) -> Column:
@@ -161,3 +168,8 @@ def model_order(rows: Column, limit: int = 30) -> Column:
 def year_route(year: Column) -> Column:
     """Which reader a year's documents need."""
     return F.when(year.isin(2017, 2018, 2020), "by_model").when(year.between(2001, 2016), "marked_tables").when(year.between(2019, 2024), "block_order").otherwise("invalid")
+
+
+def known_year(year: Column, first: int = 2001, last: int = 2024) -> Column:
+    """Whether the documents of a year can be read."""
+    return year.between(first, last)

@@ -60,10 +60,16 @@ def zip_links(chains: DataFrame, *lists: str) -> DataFrame:
     return chains.select("chain_id", F.posexplode(F.arrays_zip(*lists)).alias("seq", "x")).select("chain_id", "seq", "x.*")
 
 
-def filter_years(chains: DataFrame, years: list[int]) -> DataFrame:
-    """Keep aligned positions of the wanted years in every list; links is array<struct<year, ...>>."""
+def filter_years(chains: DataFrame, years: list[int], strict: bool = False) -> DataFrame:
+    """Keep aligned positions of the wanted years in every list; links is array<struct<year, ...>>.
+
+    A chain of which nothing is left is dropped; strict: it is an error when the row is read.
+    """
     wanted = F.array(*[F.lit(y) for y in years])
-    return chains.withColumn("links", F.filter("links", lambda x: F.array_contains(wanted, x["year"]))).filter(F.size("links") > 0)
+    kept = chains.withColumn("links", F.filter("links", lambda x: F.array_contains(wanted, x["year"])))
+    if not strict:
+        return kept.filter(F.size("links") > 0)
+    return kept.withColumn("links", F.when(F.size("links") > 0, F.col("links")).otherwise(F.raise_error(F.lit("a chain has none of the years")).cast(kept.schema["links"].dataType)))
 
 
 @dataclass(frozen=True)

@@ -122,3 +122,32 @@ def side_by_side(left: DataFrame, right: DataFrame, offset: int) -> DataFrame:
 def missing_pairs(present: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     """Combinations of two short dimension lists that present lacks. Both lists are dimensions (years, chapters)."""
     return a.crossJoin(F.broadcast(b)).join(present.select(*a.columns, *b.columns).distinct(), [*a.columns, *b.columns], "left_anti")
+
+
+def load_table(cells: DataFrame, table_id: str, width: int, year: int | None = None, chapter: int | None = None) -> DataFrame:
+    """One table as a grid: filters that reach the scan, then a pivot, rows in order."""
+    wanted = cells.filter(F.col("table_id") == table_id)
+    for name, value in (("year", year), ("chapter_id", chapter)):
+        wanted = wanted if value is None else wanted.filter(F.col(name) == value)
+    return pivot(wanted, width).orderBy("row_index")
+
+
+def repair_headers(cells: DataFrame, headers: DataFrame, row: int = 1, marker: str = X.TABLE_MARK) -> DataFrame:
+    """headers (table_id, header) with a header made from a table's second row where that is plain.
+
+    It is plain if a cell has the marker and the others have one text at most: then the first marked cell and that text, on
+    one line. Other tables keep their header.
+    """
+    value = F.col("cell_value")
+    marked = F.coalesce(value.contains(marker), F.lit(False))
+    others = F.collect_set(F.when(~marked & (F.coalesce(value, F.lit("")) != ""), value))
+    found = cells.filter(F.col("row_index") == row).groupBy("table_id").agg(F.min_by(value, F.when(marked, F.col("col_index"))).alias("_m"), others.alias("_o"))
+    line = F.trim(F.translate(F.concat_ws(" ", "_m", F.get("_o", F.lit(0))), "\n\r", "  "))
+    fixed = found.filter(F.col("_m").isNotNull() & (F.size("_o") <= 1)).select("table_id", line.alias("_fixed"))
+    return headers.join(fixed, "table_id", "left").withColumn("header", F.coalesce("_fixed", "header")).drop("_fixed")
+
+
+def cell_at(cells: DataFrame, row: int, column: int, pattern: str | None = None) -> DataFrame:
+    """table_id, row_index and cell_value of one place in every table; pattern: a LIKE on the value."""
+    here = cells.filter((F.col("row_index") == row) & (F.col("col_index") == column))
+    return (here if pattern is None else here.filter(F.col("cell_value").like(pattern))).select("table_id", "row_index", "cell_value")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Sequence
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -61,3 +65,55 @@ def from_stored(stored: DataFrame) -> DataFrame:
 def data_cells(cells: DataFrame, stored: DataFrame) -> DataFrame:
     """Cells that are no feature, by an equi join on the cell key."""
     return cells.join(stored.filter(~F.col("is_feature")).select("table_id", "row_index", "col_index"), ["table_id", "row_index", "col_index"])
+
+
+def align_by_position(cells: DataFrame, masked: DataFrame) -> DataFrame:
+    """cells with the mask of the same place, rows counted from the top of each; what one of the two lacks is cut off."""
+    place = F.dense_rank().over(Window.partitionBy("table_id").orderBy("row_index"))
+    left, right = cells.withColumn("_at", place), masked.select("table_id", "col_index", "mask", place.alias("_at"))
+    return left.join(right, ["table_id", "_at", "col_index"]).select(*cells.columns, "mask")
+
+
+def parse_reply(reply: str | list | None, rows: int, width: int) -> list[list[str]] | None:
+    """A judge's grid of classes, from a list or from noisy JSON text; null unless it has exactly the table's shape."""
+    if isinstance(reply, str):
+        try:
+            reply = json.loads(reply[reply.index("[") : reply.rindex("]") + 1])
+        except ValueError:
+            return None
+    fits = isinstance(reply, list) and len(reply) == rows and all(isinstance(r, list) and len(r) == width for r in reply)
+    return reply if fits else None
+
+
+def judge_in_order(masked: DataFrame, judges: dict[str, Callable], small: Sequence[str], large: Sequence[str], limit: int = 30) -> DataFrame:
+    """masked, its undecided cells settled by the first judge whose reply has the table's shape, and `judged_by`.
+
+    judges: name -> callable(cells, classes), both lists of rows, that returns a grid or JSON text of one. Tables of more
+    than `limit` rows ask `large` in its order, others `small`. A judge that fails, says nothing or answers in another shape
+    hands on to the next; where all do, the partial mask stays. Decided cells and missing ones keep their class, and an
+    answer other than the two classes leaves a cell undecided. A table is one group.
+    """
+    settled = {FEATURE, DATA}
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        out = pdf.assign(judged_by=None).astype({"judged_by": object})
+        if not (pdf["mask"] == UNDECIDED).any():
+            return out
+        rows = {r: i for i, r in enumerate(sorted(pdf["row_index"].unique()))}
+        width = int(pdf["col_index"].max()) + 1
+        cells, classes = ([[blank] * width for _ in rows] for blank in (None, NONE))
+        places = [(rows[r], int(c)) for r, c in zip(pdf["row_index"], pdf["col_index"], strict=True)]
+        for (i, j), value, kind in zip(places, pdf["cell_value"], pdf["mask"], strict=True):
+            cells[i][j], classes[i][j] = value, kind
+        for name in large if len(rows) > limit else small:
+            try:
+                grid = parse_reply(judges[name](cells, classes), len(rows), width)
+            except Exception:  # noqa: BLE001  a judge is the user's code or a service; the next one takes over
+                grid = None
+            if grid is not None:
+                said = [grid[i][j] if kind == UNDECIDED and grid[i][j] in settled else kind for (i, j), kind in zip(places, pdf["mask"], strict=True)]
+                return out.assign(mask=said, judged_by=name)
+        return out
+
+    schema = ", ".join(f"{n} {k}" for n, k in masked.select("table_id", "row_index", "col_index", "cell_value", "mask").dtypes)
+    return masked.select("table_id", "row_index", "col_index", "cell_value", "mask").groupBy("table_id").applyInPandas(run, f"{schema}, judged_by string")

@@ -64,3 +64,37 @@ def normalise_scores(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
     w = Window.partitionBy(*keys)
     low, high = F.min(value).over(w), F.max(value).over(w)
     return df.withColumn("_l", low).withColumn("_h", high).withColumn("scaled", F.when(F.col("_h") > F.col("_l"), (F.col(value) - F.col("_l")) / (F.col("_h") - F.col("_l"))).otherwise(1.0)).drop("_l", "_h")
+
+
+def summary_by(df: DataFrame, group: str, **distinct: str) -> DataFrame:
+    """Rows of each group, and distinct values of the named columns."""
+    return df.groupBy(group).agg(*[F.countDistinct(c).alias(n) for n, c in distinct.items()], F.count("*").alias("n"))
+
+
+def status_by(df: DataFrame, group: str, chain: str, status: str, **states: str) -> DataFrame:
+    """Distinct chains of each group, and rows of each named status."""
+    return df.groupBy(group).agg(F.countDistinct(chain).alias("chains"), *[F.count_if(F.col(status) == s).alias(n) for n, s in states.items()])
+
+
+def grouped_counts(df: DataFrame, *keys: str, where: Column | None = None) -> DataFrame:
+    """Rows of each combination of keys (or of all, without keys) that meet a condition."""
+    kept = df if where is None else df.filter(where)
+    return (kept.groupBy(*keys) if keys else kept).agg(F.count("*").alias("n"))
+
+
+def calls_by(df: DataFrame, group: str, tokens: Column, price: float, ok: Column) -> DataFrame:
+    """Calls, tokens, cost, mean tokens and successes in percent of each group."""
+    return df.groupBy(group).agg(
+        F.count("*").alias("calls"), F.sum(tokens).alias("tokens"), F.round(F.sum(tokens) * price, 6).alias("cost"), F.round(F.avg(tokens), 4).alias("mean_tokens"),
+        F.round(percent(F.count_if(ok), F.count("*")), 4).alias("success"),
+    )
+
+
+def listed(df: DataFrame, group: str, value: str) -> DataFrame:
+    """A group's values in order."""
+    return df.groupBy(group).agg(F.sort_array(F.collect_list(value)).alias("ids"))
+
+
+def any_contains(df: DataFrame, group: str, column: str, part: str) -> DataFrame:
+    """Whether any value of a group contains a text, whatever its case, and the rows."""
+    return df.groupBy(group).agg(F.bool_or(F.contains(F.lower(column), F.lit(part.lower()))).alias("flagged"), F.count("*").alias("n"))

@@ -69,3 +69,40 @@ def assign_in_turn(sample: DataFrame, people: Sequence[str], key: str, seed: int
     """Deal sampled rows out to people in turn. The sample is small by construction."""
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary")), key)) - 1
     return sample.withColumn("slot", rank).withColumn("person", F.get(F.array(*[F.lit(p) for p in people]), F.col("slot") % len(people)))
+
+
+def sample_or_repeat(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """n rows by a hash, with `slot`; where there are fewer than n, rows are taken again in the same order."""
+    first = hash_sample(df, key, n, seed)
+    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary")), key)) - 1  # n rows at most
+    ranked = first.withColumn("_r", rank).withColumn("_n", F.count("*").over(Window.partitionBy(F.lit(0))))
+    return ranked.withColumn("slot", F.explode(F.sequence(F.col("_r"), F.lit(n - 1), F.col("_n").cast("int")))).drop("_r", "_n")
+
+
+def with_keys(df: DataFrame, key: str, wanted: Sequence) -> DataFrame:
+    """Rows of the wanted keys."""
+    return df.filter(F.col(key).isin(*wanted))
+
+
+def without_keys(df: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is not among those of `gone`: entries of continuations leave a dictionary."""
+    return df.join(gone.select(key).distinct(), key, "left_anti")
+
+
+def with_text(df: DataFrame, column: str, parts: Sequence[str]) -> DataFrame:
+    """Rows whose column contains one of the parts."""
+    return df.filter(F.exists(F.array(*[F.lit(p) for p in parts]), lambda x: F.col(column).contains(x)))
+
+
+def with_label(rows: DataFrame, flags: DataFrame, key: str, flag: str, wanted: str) -> DataFrame:
+    """Rows that carry the wanted flag."""
+    return rows.join(flags.filter(F.col(flag) == wanted).select(key).distinct(), key, "left_semi")
+
+
+def distinct_keys(df: DataFrame, **columns: Column) -> DataFrame:
+    return df.select(*[c.alias(n) for n, c in columns.items()]).distinct()
+
+
+def first_by(df: DataFrame, columns: Sequence[str], order: Sequence[Column | str], n: int) -> DataFrame:
+    """The first n rows in an order: a report, n is its feature."""
+    return df.select(*columns).orderBy(*order).limit(n)

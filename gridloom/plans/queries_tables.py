@@ -24,16 +24,48 @@ def query(sql: str | None = None):
     return add
 
 
-@query("""SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(text, '\\s+', ' ', 'g'), '[0-9]{4}', '', 'g'), ' +', ' ', 'g')) AS header FROM documents""")
+MARKED = """raw AS (SELECT o_orderkey, CASE o_orderkey % 7 WHEN 0 THEN 'לוח: ' || o_custkey || '.2 שׁיעור ' WHEN 1 THEN 'ושיעור  בְּנֵי־ברק ' WHEN 2 THEN 'ממוצע ' || year(o_orderdate) || ' תושבים (המשך) ' WHEN 3 THEN 'סוף ' || year(o_orderdate) || chr(9)
+ WHEN 4 THEN 'cafe' || chr(769) || ' ' WHEN 5 THEN 'לוח ' || o_custkey || ' ' ELSE 'לוח ' || o_custkey || '.' || o_custkey || ' 1999-2003' END || o_orderpriority || ' ' || year(o_orderdate) || CASE WHEN o_orderkey % 5 = 0 THEN ' "(ab)" 2001-2005*' ELSE '' END AS h FROM orders)"""
+
+
+def marked_headers(spark, d):
+    """A header for every order, of seven kinds that meet all rules."""
+    key, cust, year = F.col("o_orderkey"), F.col("o_custkey").cast("string"), F.year("o_orderdate").cast("string")
+    kinds = [
+        ("לוח: ", cust, ".2 שׁיעור "), ("ושיעור  בְּנֵי־ברק ",), ("ממוצע ", year, " תושבים (המשך) "), ("סוף ", year, "\t"), ("cafe\u0301 ",), ("לוח ", cust, " "), ("לוח ", cust, ".", cust, " 1999-2003"),
+    ]
+    head = F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in kinds[-1]])
+    for i, parts in reversed(list(enumerate(kinds[:-1]))):
+        head = F.when(key % 7 == i, F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in parts])).otherwise(head)
+    tail = F.when(key % 5 == 0, F.lit(' "(ab)" 2001-2005*')).otherwise("")
+    return read(spark, d, "orders").select(key, F.concat(head, "o_orderpriority", F.lit(" "), year, tail).alias("h"))
+
+
+@query(f"""WITH {MARKED}, a AS (SELECT o_orderkey, regexp_replace(nfc_normalize(h), '[\u0591-\u05C7]', '', 'g') AS h FROM raw),
+b AS (SELECT o_orderkey, replace(regexp_replace(replace(h, 'ושיעור', 'ואחוז'), '\\s+', ' ', 'g'), '־', '-') AS h FROM a),
+c AS (SELECT o_orderkey, regexp_replace(regexp_replace(regexp_replace(h, 'ממוצע [0-9]{{4}}', '', 'g'), 'סוף [0-9]{{4}}', '', 'g'), '[0-9]{{4}}', '', 'g') AS h FROM b),
+e AS (SELECT o_orderkey, regexp_replace(replace(h, '(המשך)', ''), 'לוח:\\s*[0-9]+\\.[0-9]+', '', 'g') AS h FROM c)
+SELECT o_orderkey, trim(regexp_replace(h, '\\s+', ' ', 'g')) AS header FROM e""")
 def header_clean(spark, d):
-    return read(spark, d, "documents").select("doc_id", X.clean_header(F.col("text")).alias("header"))
+    return marked_headers(spark, d).select("o_orderkey", X.clean_header(F.col("h")).alias("header"))
 
 
-@query("""SELECT doc_id, coalesce(nullif(substr(trim(regexp_replace(regexp_replace(text, '[0-9]{4}-[0-9]{4}', '', 'g'), '\\s+', ' ', 'g')), 1, 200), ''), 'unnamed') AS name FROM documents""")
+@query(f"""WITH {MARKED}, a AS (SELECT o_orderkey, regexp_replace(regexp_replace(h, '[0-9]{{4}}-[0-9]{{4}}', '', 'g'), 'לוח\\s+[0-9]+\\.?[0-9]*', '', 'g') AS h FROM raw)
+SELECT o_orderkey, coalesce(nullif(substr(trim(regexp_replace(h, '\\s+', ' ', 'g')), 1, 200), ''), 'unnamed') AS name FROM a""")
 def text_clean(spark, d):
+    return marked_headers(spark, d).select("o_orderkey", X.clean_text(F.col("h")).alias("name"))
+
+
+@query("""SELECT doc_id, coalesce(nullif(substr(trim(regexp_replace(regexp_replace(text, '[0-9]{4}-[0-9]{4}', '', 'g'), '\\s+', ' ', 'g')), 1, 200), ''), 'unnamed') AS name FROM documents""")
+def text_clean_long(spark, d):
     return read(spark, d, "documents").select("doc_id", X.clean_text(F.col("text")).alias("name"))
 
 
+@query(f"""WITH {MARKED} SELECT o_orderkey, trim(regexp_replace(regexp_replace(h, '[״"׳''*()-]', '', 'g'), '\\s+', ' ', 'g')) AS name FROM raw""")
+def text_plain(spark, d):
+    return marked_headers(spark, d).select("o_orderkey", X.plain_text(F.col("h")).alias("name"))
+
+
 @query("SELECT doc_id, length(text) > 200 AND contains(substr(text, 51), substr(text, 1, 50)) AS repetitive FROM documents")
 def text_repetitive(spark, d):
     return read(spark, d, "documents").select("doc_id", X.looks_repetitive(F.col("text")).alias("repetitive"))
@@ -62,14 +94,13 @@ def representative_header(spark, d):
     return read(spark, d, "documents").select("doc_id", X.representative_header(F.col("text"), F.lit(None).cast("string")).alias("header"))
 
 
-@query("""SELECT o_orderkey, o_custkey % 15 + 1 AS chapter, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_orderkey AS INTEGER) AS serial,
-CASE WHEN year(o_orderdate) IN (2017, 2018, 2020) THEN 'by_model' WHEN year(o_orderdate) BETWEEN 2001 AND 2016 THEN 'marked_tables' WHEN year(o_orderdate) BETWEEN 2019 AND 2024 THEN 'block_order' ELSE 'invalid' END AS route,
-year(o_orderdate) BETWEEN 2001 AND 2024 AS known FROM orders""")
+@query("""WITH i AS (SELECT o_orderkey, o_custkey % 15 + 1 AS chapter, CAST(1998 + o_custkey % 29 AS INTEGER) AS year, CAST(o_orderkey AS INTEGER) AS serial FROM orders)
+SELECT *, CASE WHEN year IN (2017, 2018, 2020) THEN 'by_model' WHEN year BETWEEN 2001 AND 2016 THEN 'marked_tables' WHEN year BETWEEN 2019 AND 2024 THEN 'block_order' ELSE 'invalid' END AS route, year BETWEEN 2001 AND 2024 AS known FROM i""")
 def id_parse_route(spark, d):
     o = read(spark, d, "orders")
-    ident = build_identifier(F.col("o_orderkey"), F.col("o_custkey") % 15 + 1, F.year("o_orderdate"))
+    ident = build_identifier(F.col("o_orderkey"), F.col("o_custkey") % 15 + 1, 1998 + F.col("o_custkey") % 29)
     got = o.select("o_orderkey", parse_identifier(F.concat(F.lit("dir/"), ident, F.lit(".csv"))).alias("i"))
-    return got.select("o_orderkey", F.col("i.chapter").cast("long").alias("chapter"), F.col("i.year").alias("year"), F.col("i.serial").alias("serial"), X.year_route(F.col("i.year")).alias("route"), F.col("i.year").between(2001, 2024).alias("known"))
+    return got.select("o_orderkey", F.col("i.chapter").cast("long").alias("chapter"), F.col("i.year").alias("year"), F.col("i.serial").alias("serial"), X.year_route(F.col("i.year")).alias("route"), X.known_year(F.col("i.year")).alias("known"))
 
 
 @query("SELECT event_id, event_id || '_' || (user_id % 15) || '_' || 2023 AS key FROM events")
@@ -88,23 +119,22 @@ def json_from_noise(spark, d):
 @query("""SELECT n_regionkey AS chapter, count(DISTINCT c_nationkey) AS chains, count(DISTINCT c_custkey) AS tables, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
 def summary_by_chapter(spark, d):
     both = read(spark, d, "customer").join(read(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return both.groupBy(F.col("n_regionkey").alias("chapter")).agg(F.countDistinct("c_nationkey").alias("chains"), F.countDistinct("c_custkey").alias("tables"), F.count("*").alias("n"))
+    return S.summary_by(both.withColumnRenamed("n_regionkey", "chapter"), "chapter", chains="c_nationkey", tables="c_custkey")
 
 
 @query("""SELECT o_custkey % 15 AS chapter, count(DISTINCT o_custkey) AS chains, count_if(o_orderstatus = 'F')::BIGINT AS completed, count_if(o_orderstatus = 'P')::BIGINT AS pending FROM orders GROUP BY 1""")
 def status_by_chapter(spark, d):
-    is_ = lambda s: F.count_if(F.col("o_orderstatus") == s)
-    return read(spark, d, "orders").groupBy((F.col("o_custkey") % 15).alias("chapter")).agg(F.countDistinct("o_custkey").alias("chains"), is_("F").alias("completed"), is_("P").alias("pending"))
+    return S.status_by(read(spark, d, "orders").withColumn("chapter", F.col("o_custkey") % 15), "chapter", "o_custkey", "o_orderstatus", completed="F", pending="P")
 
 
 @query("SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders WHERE o_orderpriority LIKE '%HIGH%' GROUP BY ALL")
 def status_groups(spark, d):
-    return read(spark, d, "orders").filter(F.col("o_orderpriority").like("%HIGH%")).groupBy("o_custkey", "o_orderstatus").agg(F.count("*").alias("n"))
+    return S.grouped_counts(read(spark, d, "orders"), "o_custkey", "o_orderstatus", where=F.col("o_orderpriority").like("%HIGH%"))
 
 
 @query("SELECT count(*) AS n FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 3")
 def filtered_count(spark, d):
-    return read(spark, d, "lineitem").filter("l_returnflag = 'A' AND l_linenumber = 3").agg(F.count("*").alias("n"))
+    return S.grouped_counts(read(spark, d, "lineitem"), where=F.expr("l_returnflag = 'A' AND l_linenumber = 3"))
 
 
 @query("SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus AS status, count(*) AS n, count_if(o_orderpriority = '1-URGENT')::BIGINT AS urgent FROM orders GROUP BY ROLLUP (year(o_orderdate), o_orderstatus)")
@@ -152,10 +182,7 @@ def wilson_interval(spark, d):
 
 @query("""SELECT role AS model, count(*) AS calls, sum(length(text))::BIGINT AS tokens, round(sum(length(text)) * 0.000003, 6) AS cost, round(avg(length(text)), 4) AS mean_tokens, round(100.0 * count_if(turn < 4) / count(*), 4) AS success FROM conversations GROUP BY 1""")
 def cost_accounting(spark, d):
-    n = F.length("text")
-    calls = read(spark, d, "conversations").groupBy(F.col("role").alias("model"))
-    out = calls.agg(F.count("*").alias("calls"), F.sum(n).alias("tokens"), F.round(F.sum(n) * 0.000003, 6).alias("cost"), F.round(F.avg(n), 4).alias("mean_tokens"), F.round(S.percent(F.count_if(F.col("turn") < 4), F.count("*")), 4).alias("success"))
-    return out.orderBy(F.desc("calls"))
+    return S.calls_by(read(spark, d, "conversations").withColumnRenamed("role", "model"), "model", F.length("text"), 0.000003, F.col("turn") < 4).orderBy(F.desc("calls"))
 
 
 @query("""SELECT event_id, user_id, sum(CASE WHEN event_type = 'error' THEN 0 ELSE 1 END) OVER (PARTITION BY user_id ORDER BY event_id)::BIGINT AS grp FROM events""")
@@ -187,10 +214,10 @@ def dedup_first(spark, d):
 
 
 @query("""SELECT coalesce(n.doc_id, o.doc_id) AS doc_id, CASE WHEN n.doc_id IS NOT NULL THEN n.v ELSE o.v END AS v FROM (SELECT doc_id, 'old' || quality AS v FROM labels) o
-FULL OUTER JOIN (SELECT doc_id, CASE WHEN doc_id % 3 > 0 THEN 'new' || source END AS v FROM documents WHERE doc_id % 2 = 0) n ON o.doc_id = n.doc_id""")
+FULL OUTER JOIN (SELECT 2 * doc_id AS doc_id, CASE WHEN doc_id % 3 > 0 THEN 'new' || source END AS v FROM documents) n ON o.doc_id = n.doc_id""")
 def dict_upsert(spark, d):
     old = read(spark, d, "labels").select("doc_id", F.concat(F.lit("old"), F.col("quality").cast("string")).alias("v"))
-    new = read(spark, d, "documents").filter("doc_id % 2 = 0").select("doc_id", F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("new"), "source")).alias("v"))
+    new = read(spark, d, "documents").select((2 * F.col("doc_id")).alias("doc_id"), F.when(F.col("doc_id") % 3 > 0, F.concat(F.lit("new"), "source")).alias("v"))
     return T.upsert(old, new, ("doc_id",))
 
 
@@ -211,13 +238,10 @@ def lookback_header(spark, d):
     return c.select("conv_id", "turn", T.look_back(c, ("conv_id",), "turn", F.when(F.col("role") == "user", F.length("text").cast("long"))).alias("header_length"))
 
 
-@query("""WITH y AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year FROM orders), c AS (SELECT DISTINCT c_nationkey AS chapter FROM customer),
-h AS (SELECT DISTINCT CAST(year(o_orderdate) AS INTEGER) AS year, c_nationkey AS chapter FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 450000) SELECT year, chapter FROM y CROSS JOIN c EXCEPT SELECT year, chapter FROM h""")
+@query("SELECT p_brand, p_size FROM (SELECT DISTINCT p_brand FROM part) CROSS JOIN (SELECT DISTINCT p_size FROM part) EXCEPT SELECT p_brand, p_size FROM part")
 def missing_combos(spark, d):
-    o = read(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
-    c = read(spark, d, "customer").withColumnRenamed("c_nationkey", "chapter")
-    have = o.filter("o_totalprice > 450000").join(c, F.col("o_custkey") == F.col("c_custkey"))
-    return G.missing_pairs(have, o.select("year").distinct(), c.select("chapter").distinct())
+    p = read(spark, d, "part").select("p_brand", "p_size")
+    return G.missing_pairs(p, p.select("p_brand").distinct(), p.select("p_size").distinct())
 
 
 @query("SELECT doc_id, source FROM documents ORDER BY md5(CAST(doc_id AS VARCHAR) || ':42'), doc_id LIMIT 40")
@@ -233,12 +257,12 @@ def sample_assigned(spark, d):
 
 @query("SELECT DISTINCT user_id AS table_id, CAST(day(ts) AS INTEGER) AS year FROM events")
 def distinct_tables(spark, d):
-    return read(spark, d, "events").select(F.col("user_id").alias("table_id"), F.dayofmonth("ts").alias("year")).distinct()
+    return T.distinct_keys(read(spark, d, "events"), table_id=F.col("user_id"), year=F.dayofmonth("ts"))
 
 
 @query("SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'P' ORDER BY o_totalprice DESC, o_orderkey LIMIT 10")
 def first_rows(spark, d):
-    return read(spark, d, "orders").filter("o_orderstatus = 'P'").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(10)
+    return T.first_by(read(spark, d, "orders").filter("o_orderstatus = 'P'"), ("o_orderkey", "o_totalprice"), (F.desc("o_totalprice"), "o_orderkey"), 10)
 
 
 @query("SELECT label, vec_id, round((vec_id - min(vec_id) OVER w) / (max(vec_id) OVER w - min(vec_id) OVER w), 6) AS scaled FROM embeddings WINDOW w AS (PARTITION BY label)")
@@ -248,12 +272,12 @@ def scaled_scores(spark, d):
 
 @query("SELECT n_regionkey AS chapter, string_agg(n_name, ',' ORDER BY n_name) AS ids FROM nation GROUP BY 1")
 def grouped_lists(spark, d):
-    return read(spark, d, "nation").groupBy(F.col("n_regionkey").alias("chapter")).agg(F.concat_ws(",", F.sort_array(F.collect_list("n_name"))).alias("ids"))
+    return S.listed(read(spark, d, "nation").withColumnRenamed("n_regionkey", "chapter"), "chapter", "n_name").select("chapter", F.concat_ws(",", "ids").alias("ids"))
 
 
 @query("SELECT n_nationkey, n_name FROM nation WHERE contains(n_name, '_1') OR contains(n_name, '_2')")
 def chain_id_substring(spark, d):
-    return read(spark, d, "nation").filter(F.exists(F.array(F.lit("_1"), F.lit("_2")), lambda x: F.col("n_name").contains(x))).select("n_nationkey", "n_name")
+    return T.with_text(read(spark, d, "nation"), "n_name", ("_1", "_2")).select("n_nationkey", "n_name")
 
 
 @query("SELECT p_partkey, p_size FROM part WHERE p_size * p_size >= 200 AND p_type IN ('SMALL', 'ECONOMY')")
@@ -263,4 +287,31 @@ def size_filter(spark, d):
 
 @query("SELECT p_brand AS id, bool_or(lower(p_name) LIKE '%hot%') AS flagged, collate_n AS n FROM (SELECT p_brand, p_name, count(*) OVER (PARTITION BY p_brand) AS collate_n FROM part) GROUP BY 1, 3")
 def any_cell_contains(spark, d):
-    return read(spark, d, "part").groupBy(F.col("p_brand").alias("id")).agg(F.bool_or(F.lower("p_name").like("%hot%")).alias("flagged"), F.count("*").alias("n"))
+    return S.any_contains(read(spark, d, "part").withColumnRenamed("p_brand", "id"), "id", "p_name", "hot")
+
+
+@query("SELECT n_nationkey, n_name FROM nation WHERE n_nationkey IN (3, 7, 24)")
+def chain_id_filter(spark, d):
+    return T.with_keys(read(spark, d, "nation"), "n_nationkey", (3, 7, 24)).select("n_nationkey", "n_name")
+
+
+@query("SELECT doc_id, source FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)")
+def label_filter(spark, d):
+    return T.with_label(read(spark, d, "documents").select("doc_id", "source"), read(spark, d, "labels"), "doc_id", "toxic", 1)
+
+
+@query("SELECT doc_id, lang FROM documents ANTI JOIN labels USING (doc_id)")
+def drop_continuations(spark, d):
+    return T.without_keys(read(spark, d, "documents").select("doc_id", "lang"), read(spark, d, "labels"), "doc_id")
+
+
+@query("""WITH r AS (SELECT n_nationkey, row_number() OVER (ORDER BY md5(CAST(n_nationkey AS VARCHAR) || ':42'), n_nationkey) - 1 AS r FROM nation)
+SELECT n_nationkey, CAST(slot AS INTEGER) AS slot FROM range(0, 60) t(slot) JOIN r ON r = slot % (SELECT count(*) FROM nation)""")
+def sample_repeated(spark, d):
+    return T.sample_or_repeat(read(spark, d, "nation").select("n_nationkey"), "n_nationkey", 60)
+
+
+@query("""SELECT source, CAST(CASE WHEN count(*) > 30 THEN 'large' ELSE 'small' END AS VARCHAR) AS first_model, printf('%.1f%%', round(100.0 * count_if(lang = 'en') / count(*), 1)) AS english FROM documents GROUP BY 1""")
+def model_orders(spark, d):
+    g = read(spark, d, "documents").groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("lang") == "en").alias("k"))
+    return g.select("source", X.model_order(F.col("n")).alias("first_model"), X.percent_text(F.round(S.percent(F.col("k"), F.col("n")), 1)).alias("english"))

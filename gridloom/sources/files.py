@@ -74,11 +74,13 @@ def csv_cells(files: DataFrame) -> DataFrame:
 def read_csv_grids(spark: SparkSession, folder: str, header_before: int | None = 2017) -> DataFrame:
     """table_id, year and cells of every CSV below folder, stars removed.
 
-    The first line of files of years before header_before is a line of column labels and is dropped.
+    A table is a file year/chapter/id.csv, or a folder table_id=id as `write_grids` makes it. The first line of files of
+    years before header_before is a line of column labels and is dropped.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").load(folder)
-    ident = F.regexp_extract("path", r"([^/]+)\.csv$", 1)
-    year = F.coalesce(F.regexp_extract(ident, IDENTIFIER, 3).try_cast("int"), F.regexp_extract("path", "/([0-9]{4})/", 1).try_cast("int"))
+    named = F.regexp_extract("path", "/table_id=([^/]+)/", 1)  # Spark writes special characters as %XX
+    ident = F.when(named != "", F.url_decode(F.replace(named, F.lit("+"), F.lit("%2B")))).otherwise(F.regexp_extract("path", r"([^/]+)\.csv$", 1))
+    year = F.coalesce(F.regexp_extract(ident, IDENTIFIER, 3).try_cast("int"), F.regexp_extract("path", "/(?:year=)?([0-9]{4})/", 1).try_cast("int"))
     cells = csv_cells(files).select(ident.alias("table_id"), year.alias("year"), "row_index", "col_index", X.strip_stars(F.col("cell_value")).alias("cell_value"))
     if header_before is None:
         return cells
@@ -108,9 +110,17 @@ def clean_csv_text(replies: DataFrame, key: str, text: str) -> DataFrame:
     return replies.select(F.col(key).cast("string").alias(key), text).mapInArrow(run, out)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
-    """id, header and the id's parts from JSON objects id -> header; ids of another form are dropped."""
-    raw = spark.read.text(path, wholetext=True)
+    """id, header and the id's parts from JSON objects id -> header; ids of another form are dropped.
+
+    A missing file and one that is no JSON object give no rows, so names fall back to ids.
+    """
+    raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True) if exists(spark, path) else spark.createDataFrame([], "value string")
     pairs = raw.select(F.explode(F.from_json("value", "map<string,string>")).alias("id", "header"))
     part = lambda i: F.regexp_extract("id", f"^{IDENTIFIER}$", i).try_cast("int")
     return pairs.select("id", "header", part(1).alias("serial"), part(2).alias("chapter"), part(3).alias("year")).filter("serial is not null")
@@ -127,8 +137,9 @@ CHAIN_FILE = "map<string,struct<id:string,tables:array<string>,years:array<int>,
 
 
 def read_chains(spark: SparkSession, path: str, prefix: bool = True) -> DataFrame:
-    """One row a chain of chains_chapter_N.json files; prefix: ids become ch{N}_id, as several chapters need."""
-    raw = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.col("_metadata.file_name"), "([0-9]+)", 1).try_cast("int").alias("chapter_id"), F.explode(F.from_json("value", CHAIN_FILE)).alias("key", "c"))
+    """One row a chain of chains_chapter_N.json files, or of folders chapter_id=N as `write_chains` makes them; prefix: ids become ch{N}_id, as several chapters need."""
+    place = F.coalesce(F.nullif(F.regexp_extract(F.col("_metadata.file_path"), "/chapter_id=([0-9]+)/", 1), F.lit("")), F.regexp_extract(F.col("_metadata.file_name"), "([0-9]+)", 1))
+    raw = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(place.try_cast("int").alias("chapter_id"), F.explode(F.from_json("value", CHAIN_FILE)).alias("key", "c"))
     ident = F.concat(F.lit("ch"), F.col("chapter_id").cast("string"), F.lit("_"), "key") if prefix else F.col("key")
     return raw.select("chapter_id", ident.alias("chain_id"), "c.*").drop("id")
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+import zlib
 from collections.abc import Callable, Iterator
 from xml.etree import ElementTree as ET
 
@@ -53,10 +54,7 @@ def _rows(table: ET.Element) -> list[list[str]]:
 
 
 def _blocks(path: str, data: bytes) -> Iterator[tuple]:
-    try:
-        body = ET.fromstring(zipfile.ZipFile(io.BytesIO(data)).read("word/document.xml")).find(f"{W}body")
-    except (zipfile.BadZipFile, KeyError, ET.ParseError):
-        return  # not a document: no blocks
+    body = ET.fromstring(zipfile.ZipFile(io.BytesIO(data)).read("word/document.xml")).find(f"{W}body")
     for pos, node in enumerate(body if body is not None else ()):
         if node.tag == f"{W}p":
             yield path, pos, "paragraph", _text(node), None
@@ -65,8 +63,16 @@ def _blocks(path: str, data: bytes) -> Iterator[tuple]:
 
 
 def _per_file(files: DataFrame, make: Callable[[str, bytes], Iterator[tuple]], schema: str) -> DataFrame:
+    """Rows of every file. A file that is no document, or a broken one, gives none; the others of the job are not lost."""
+
+    def rows(path: str, data: bytes) -> list[tuple]:
+        try:
+            return list(make(path, data or b""))
+        except (zipfile.BadZipFile, KeyError, IndexError, AttributeError, ValueError, EOFError, zlib.error, ET.ParseError):
+            return []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        yield from _emit((row for b in batches for p, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for row in make(p, d)), schema)
+        yield from _emit((row for b in batches for p, d in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) for row in rows(p, d)), schema)
 
     return files.select("path", "content").mapInArrow(run, schema)
 

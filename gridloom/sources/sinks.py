@@ -29,6 +29,53 @@ def write_dictionary(pairs: DataFrame, path: str, key: str, value: str) -> None:
     pairs.select(F.to_json(F.struct(F.col(key).alias("id"), F.col(value).alias("header"))).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_names(pairs: DataFrame, path: str, by: str = "chapter") -> None:
+    """id -> header as one JSON object a chapter, which `read_dictionary` reads. A chapter's names are one row."""
+    whole = F.to_json(F.map_from_entries(F.collect_list(F.struct("id", "header")))).alias("value")
+    pairs.groupBy(by).agg(whole).repartition(by).write.mode("overwrite").partitionBy(by).text(path)
+
+
+CHAIN_FIELDS = ("tables", "years", "headers", "mask_references", "status", "gaps", "similarities", "api_validated", "source_chains", "source_chapters")
+
+
+def write_chains(chains: DataFrame, path: str, by: str = "chapter_id") -> None:
+    """chain id -> its lists as one JSON object a chapter, which `read_chains` reads; fields that chains lack are left out."""
+    fields = [c for c in CHAIN_FIELDS if c in chains.columns]
+    one = F.struct(F.col("chain_id").alias("id"), *fields)
+    whole = F.to_json(F.map_from_entries(F.collect_list(F.struct("chain_id", one)))).alias("value")
+    chains.groupBy(by).agg(whole).repartition(by).write.mode("overwrite").partitionBy(by).text(path)
+
+
+def chain_metadata(links: DataFrame, chapters: DataFrame | None = None) -> DataFrame:
+    """One row a chain: table count, years and the years missing between; chapters (chapter_id, chapter_name) names them."""
+    rows = links.groupBy("chapter_id", "chain_id").agg(F.count("*").cast("int").alias("table_count"), F.sort_array(F.collect_set("year")).alias("years"))
+    rows = rows.withColumn("gaps", F.array_except(F.sequence(F.array_min("years"), F.array_max("years")), "years"))
+    return rows if chapters is None else rows.join(chapters, "chapter_id", "left")
+
+
+def wide(merged: DataFrame, names: list[str], chain: str = "chain_id") -> DataFrame:
+    """The merged table of chains that share column names: a row a year and row, meta_year first."""
+    value = lambda n: F.max(F.when(F.col("column_name") == n, F.col("cell_value"))).alias(n)
+    return merged.groupBy(chain, "meta_year", "row_index").agg(*[value(n) for n in names]).select("meta_year", chain, "row_index", *names)
+
+
+def report_lines(report: DataFrame, key: str = "chain_id") -> DataFrame:
+    """A line of text a chain of a validation report."""
+    state = F.when(F.col("valid"), "ok").otherwise(F.concat(F.lit("failed: "), "issues"))
+    return report.select(F.format_string("%s: %d rows, %d columns, %d years, %s", F.col(key).cast("string"), "n_rows", "n_columns", "n_years", state).alias("value"))
+
+
+def write_lines(lines: DataFrame, path: str) -> None:
+    lines.select("value").write.mode("overwrite").text(path)
+
+
+def kept_files(files: DataFrame, flags: DataFrame, key: str = "name", flag: str = "redundant") -> DataFrame:
+    """The list of files to copy: those not flagged YES. Copying is the storage's job."""
+    from gridloom.operators.tables import keep_unflagged
+
+    return keep_unflagged(files, flags, key, flag)
+
+
 def upsert_dictionary(spark: SparkSession, new: DataFrame, old_path: str, new_path: str, keys: tuple[str, ...]) -> None:
     """Old entries with new ones over them, written beside the old table; the caller swaps the folders."""
     upsert(spark.read.parquet(old_path), new, keys).write.mode("overwrite").parquet(new_path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import text as X
 from gridloom.model import build_identifier, parse_identifier
-from gridloom.operators import assign, chains, grid, mask, merge, normalize, similarity, stack, stats, tables
+from gridloom.operators import assign, chains, grid, mask, merge, normalize, reports, similarity, stack, stats, tables
 
 
 def one(spark, column, value, kind="string"):
@@ -35,7 +35,9 @@ def test_headers(spark):
     assert one(spark, X.clean_text(F.col("v")), f"{mark} 3.1 a  b 2001-2005") == "a b"
     assert one(spark, X.clean_text(F.col("v")), " ") == "unnamed"
     assert one(spark, X.filename_key(F.col("v")), "2023_03__04.png") == "4_3_2023"
-    assert one(spark, X.plain_text(F.col("v")), " a-b,  c ") == "a b c"
+    assert one(spark, X.plain_text(F.col("v")), " a-b (c),  d_1 ") == "ab c, d_1"
+    assert one(spark, X.clean_text(F.col("v")), f"{mark} 3") == "unnamed"
+    assert one(spark, X.clean_header(F.col("v")), "cafe\u0301") == "caf\u00e9"
     assert one(spark, X.is_year(F.col("v")), " 1950 ") is True and one(spark, X.is_year(F.col("v")), "x") is False
     assert one(spark, X.is_hebrew(F.col("v")), "xש") is True
     got = one(spark, parse_identifier(F.concat(F.lit("m/"), build_identifier(F.lit(3), F.lit(2), F.lit(2015)), F.col("v"))), ".csv")
@@ -154,7 +156,7 @@ def test_every_table_is_in_one_chain():
 def test_merge_fixpoint(spark):
     rows = [(1, c, y, f"{c}{y}") for c, ys in {"a": [2001, 2002], "b": [2002, 2003], "c": [2001, 2002, 2003], "d": [2009]}.items() for y in ys]
     links = spark.createDataFrame(rows, "chapter_id int, chain_id string, year int, table_id string")
-    pairs = {(r.chain1, r.chain2): r.improvement for r in merge.complementary_pairs(merge.year_bits(links, keep=("chapter_id",)), "chapter_id").collect()}
+    pairs = {(r.chain1, r.chain2): r.improvement for r in merge.complementary_pairs(merge.year_sets(links, keep=("chapter_id",)), "chapter_id").collect()}
     assert pairs == {("a", "b"): 1, ("a", "d"): 1, ("b", "d"): 1, ("c", "d"): 1}
     got = merge.merge_all(links)
     report = merge.merge_report(links, got).first()
@@ -164,6 +166,33 @@ def test_merge_fixpoint(spark):
     assert first == {2001: "a2001", 2002: "a2002", 2003: "b2003"}
 
 
+def test_merge_asks_about_headers_and_keeps_what_belongs_to_a_year(spark):
+    head = {"a": "Births\nby region\nBirths", "b": "births by region", "c": "Deaths", "d": None}
+    years = {"a": [1950, 2020], "b": [1951, 2020], "c": [2021], "d": [2022]}
+    rows = [(1, c, y, f"{c}{y}", f"m{c}{y}", head[c]) for c, ys in years.items() for y in ys]
+    links = spark.createDataFrame(rows, "chapter_id int, chain_id string, year int, table_id string, mask_reference string, header string")
+    alike = lambda p, q: float(p.split()[0].lower() == q.split()[0].lower())
+    got = merge.merge_all(links, similar=alike, judge=lambda p, q: f"Answer: YES, {p} and {q}")
+    chains_ = {r.chain_id: r for r in merge.merged_chains(got).collect()}
+    assert set(chains_) == {"merged_a_b", "c", "d"}
+    one = chains_["merged_a_b"]
+    assert (one.years, one.tables, one.mask_references) == ([1950, 1951, 2020], ["a1950", "b1951", "a2020"], ["ma1950", "mb1951", "ma2020"])
+    assert one.headers == [head["a"], head["b"], head["a"]] and one.source_chains == ["a", "b"] and one.status == "merged" and len(one.gaps) == 68
+    assert {r.chain_id for r in merge.merge_all(links, judge=lambda p, q: "Answer: NO, they differ. YES would be wrong").collect()} == {"a", "b", "c", "d"}
+    asked = merge.merge_all(links, judge=lambda p, q: p == "Births | by region" and q == "births by region")
+    assert {r.chain_id for r in asked.collect()} == {"merged_a_b", "c", "d"}
+    pairs = {(r.chain1, r.chain2): (r.improvement, r.covered) for r in merge.complementary_pairs(merge.year_sets(links, keep=("chapter_id",)), "chapter_id").collect()}
+    assert pairs["a", "b"] == (1, 3) and pairs["c", "d"] == (1, 2)
+
+
+def test_identifiers_of_any_type(spark):
+    rows = [("c1", "t1", 0.9), ("c1", "t2", 0.9), ("c2", "t1", 0.9), ("c2", "t2", 0.2), ("c10", "t2", 0.95)]
+    pairs = spark.createDataFrame(rows, "chain string, tab string, similarity double")
+    assert {(r.chain, r.tab, r.similarity) for r in similarity.top_match(pairs, "chain", "tab").collect()} == {("c1", "t1", 0.9), ("c2", "t1", 0.9), ("c10", "t2", 0.95)}
+    assert {(r.tab, r.n, tuple(r.chains), r.winner) for r in similarity.conflicts(pairs, "chain", "tab", 0.85).collect()} == {("t1", 2, ("c1", "c2"), "c1"), ("t2", 2, ("c1", "c10"), "c10")}
+    assert {(r.tab, r.chain) for r in reports.best_revival(pairs, "chain", "tab").collect()} == {("t1", "c1"), ("t2", "c10")}
+
+
 def test_schema_evolution(spark):
     names = {2001: ["Total", "Mean price"], 2002: ["Mean prices", "Total", "New thing"], 2003: ["Total", "Mean price"]}
     rows = [("c", y, i, n) for y, ns in names.items() for i, n in enumerate(ns)]
@@ -202,3 +231,55 @@ def test_registry_agrees_with_sql(spark):
         assert sorted(a.columns) == sorted(b.columns), n
         key = lambda df: sorted(map(str, df[sorted(df.columns)].astype(object).where(df.notna(), None).map(lambda v: None if v is None else float(v) if isinstance(v, (int, float, np.number)) else str(v)).values.tolist()))  # noqa: E731, B023
         assert key(a) == key(b), n
+
+
+def test_chain_years_filter_can_be_strict(spark):
+    rows = spark.createDataFrame([("a", [(2001, "x"), (2002, "y")]), ("b", [(2005, "z")])], "chain_id string, links array<struct<year:int,table_id:string>>")
+    assert [r.chain_id for r in chains.filter_years(rows, [2001]).collect()] == ["a"]
+    with pytest.raises(Exception, match="none of the years"):
+        chains.filter_years(rows, [2001], strict=True).collect()
+
+
+def test_judges_hand_on(spark):
+    rows = [("t", r, c, v, m) for r in range(2) for c, (v, m) in enumerate([("x", "undecided"), ("1", "data-point"), (None, "None")])]
+    masked = spark.createDataFrame(rows, "table_id string, row_index int, col_index int, cell_value string, mask string")
+
+    def fails(cells, classes):
+        raise ValueError
+
+    every = lambda cells, classes: [["feature"] * 3] * 2
+    run = lambda order, judges: {(r.row_index, r.col_index): (r.mask, r.judged_by) for r in mask.judge_in_order(masked, judges, order, ()).collect()}
+    got = run(["fails", "empty", "short", "every"], {"fails": fails, "empty": lambda a, b: "", "short": lambda a, b: "[[1]]", "every": every})
+    assert got == {(r, c): (m, "every") for r in range(2) for c, m in enumerate(["feature", "data-point", "None"])}
+    assert set(run(["empty"], {"empty": lambda a, b: None}).values()) == {("undecided", None), ("data-point", None), ("None", None)}
+
+
+def test_embeddings_are_cached(spark, tmp_path):
+    from pyspark.sql.types import ArrayType, FloatType
+
+    asked = spark.sparkContext.accumulator(0)
+
+    def model():
+        @F.pandas_udf(ArrayType(FloatType()))
+        def embed(texts: pd.Series) -> pd.Series:
+            asked.add(len(texts))
+            return texts.map(lambda t: [float(len(t))])
+
+        return embed
+
+    path = str(tmp_path / "cache")
+    for words, so_far in ((["a", "bb", "a"], 2), (["bb", "ccc"], 3)):
+        df = spark.createDataFrame([(w,) for w in words], "w string")
+        got = sorted((r.w, r.embedding) for r in similarity.embed_cached(df, "w", model(), path).collect())
+        assert got == sorted((w, [float(len(w))]) for w in words)
+        assert asked.value == so_far
+
+
+def test_settings(spark, tmp_path):
+    from gridloom.config import overlay, read_config
+
+    defaults = {"a": 1, "match": {"high": 0.85, "low": 0.5}}
+    assert overlay(defaults, {"match": {"low": 0.4}}) == {"a": 1, "match": {"high": 0.85, "low": 0.4}}
+    assert overlay(defaults, {"match": {"low": 0.4}}, deep=False) == {"a": 1, "match": {"low": 0.4}}
+    (tmp_path / "c.json").write_text('{"a": 2,\n "b": [1]}')
+    assert read_config(spark, str(tmp_path / "c.json"), defaults) == defaults | {"a": 2, "b": [1]}
