@@ -56,11 +56,14 @@ def greedy_assignment(scores: Iterable[tuple[float, int, int]], least: float = 0
     return out
 
 
-def assign_groups(pairs: DataFrame, group: str, left: str, right: str, score: str, threshold: float, greedy: bool = False) -> DataFrame:
-    """Assignment inside each group of scored pairs; groups are blocks of at most a few hundred on a side."""
+def assign_groups(pairs: DataFrame, group: str, left: str, right: str, score: str, threshold: float, greedy: bool = False, most: int = 3_000) -> DataFrame:
+    """Assignment inside each group of scored pairs. A group is a block (a chapter's year); more than `most` on a side is an
+    error that names it, because an optimal assignment needs the whole matrix in one task."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         a, b = sorted(pdf[left].unique()), sorted(pdf[right].unique())
+        if max(len(a), len(b)) > most:
+            raise ValueError(f"group {pdf[group].iloc[0]!r} has {len(a)} by {len(b)} members; the most is {most}")
         at, bt = {x: i for i, x in enumerate(a)}, {x: i for i, x in enumerate(b)}
         if greedy:
             ordered = pdf.sort_values([left, right])

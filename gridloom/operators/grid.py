@@ -120,8 +120,9 @@ def side_by_side(left: DataFrame, right: DataFrame, offset: int) -> DataFrame:
 
 
 def missing_pairs(present: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
-    """Combinations of two short dimension lists that present lacks. Both lists are dimensions (years, chapters)."""
-    return a.crossJoin(F.broadcast(b)).join(present.select(*a.columns, *b.columns).distinct(), [*a.columns, *b.columns], "left_anti")
+    """Combinations of two dimension lists (years, chapters) that present lacks. The combinations are the result's own size;
+    Spark broadcasts a list only below its limit."""
+    return a.crossJoin(b).join(present.select(*a.columns, *b.columns).distinct(), [*a.columns, *b.columns], "left_anti")
 
 
 def load_table(cells: DataFrame, table_id: str, width: int, year: int | None = None, chapter: int | None = None) -> DataFrame:

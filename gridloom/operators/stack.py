@@ -9,36 +9,41 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridloom.operators.assign import greedy_assignment
+from gridloom.operators.similarity import cosine, embed_distinct, name_similarity
 
 
-def _edit_similarity(a: str, b: str) -> float:
-    if a == b:
-        return 1.0
-    longest = max(len(a), len(b))
-    row = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
-    return 1 - row[-1] / longest if longest else 0.0
+def name_pairs(headers: DataFrame, model=None) -> DataFrame:
+    """chain_id, old, new and similarity of all distinct names of a chain, which are few.
+
+    model: text column -> vector column (an embedding UDF); names are then compared by the cosine of their vectors, each
+    distinct name embedded once. Without it, by edit distance.
+    """
+    names = headers.select("chain_id", F.coalesce("name", F.lit("")).alias("name")).distinct()
+    if model is not None:
+        names = embed_distinct(names, "name", model)
+    side = lambda ident, v: names.select("chain_id", F.col("name").alias(ident), *([F.col("embedding").alias(v)] if model is not None else []))
+    vectors = cosine(F.col("a"), F.col("b")) if model is not None else None
+    return side("old", "a").join(side("new", "b"), "chain_id").select("chain_id", "old", "new", name_similarity(F.col("old"), F.col("new"), vectors).alias("similarity"))
 
 
-def evolve_schema(headers: DataFrame, high: float = 0.85, medium: float = 0.5, use_latest_name: bool = False) -> DataFrame:
+def evolve_schema(headers: DataFrame, high: float = 0.85, medium: float = 0.5, use_latest_name: bool = False, model=None) -> DataFrame:
     """headers: chain_id, year, col_index, name. Adds col_id, final_name and match (new, high or medium) to each.
 
     Years are taken in order: a year's names are matched one to one to the chain's columns, greedily by score; the rest
     become new columns. Matching uses a column's first name unless use_latest_name. Final names are the latest; two
-    columns of one final name are told apart by __2 and so on. Only headers are grouped, never cells.
+    columns of one final name are told apart by __2 and so on. Scores come from `name_pairs`, computed before the groups.
+    Only headers are grouped, never cells.
     """
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(pdf: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["year", "col_index"])
+        score = dict(zip(zip(pairs["old"], pairs["new"], strict=True), pairs["similarity"], strict=True))
         columns: list[dict] = []
         rows = []
         for year, now in pdf.groupby("year", sort=True):
             names, places = now["name"].fillna("").tolist(), now["col_index"].tolist()
             key = "last" if use_latest_name else "first"
-            scores = [(_edit_similarity(c[key], n), i, j) for i, c in enumerate(columns) for j, n in enumerate(names)]
+            scores = [(score[c[key], n], i, j) for i, c in enumerate(columns) for j, n in enumerate(names)]
             found = {j: (i, s) for i, j, s in greedy_assignment(scores, medium)}
             for j, (n, place) in enumerate(zip(names, places, strict=True)):
                 if j in found:
@@ -60,7 +65,8 @@ def evolve_schema(headers: DataFrame, high: float = 0.85, medium: float = 0.5, u
 
     kinds = dict(headers.dtypes)
     schema = f"chain_id {kinds['chain_id']}, year {kinds['year']}, col_index {kinds['col_index']}, name string, col_id string, final_name string, match string"
-    return headers.select("chain_id", "year", "col_index", "name").groupBy("chain_id").applyInPandas(run, schema)
+    rows = headers.select("chain_id", "year", "col_index", "name")
+    return rows.groupBy("chain_id").cogroup(name_pairs(rows, model).withColumnRenamed("chain_id", "pair_chain").groupBy("pair_chain")).applyInPandas(run, schema)
 
 
 def stack(cells: DataFrame, schema: DataFrame) -> DataFrame:

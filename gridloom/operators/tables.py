@@ -7,15 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridloom.staging import stage
+
 
 def continuation_groups(tables: DataFrame, order: Sequence[str], is_continuation: Column, within: Sequence[str] = ()) -> DataFrame:
     """Adds `grp`: a continuation belongs to the original before it. within: boundaries that no group crosses.
 
-    Without `within` the order is global and one task must see all rows; that is the strict form, for one corpus's
-    metadata. Leading continuations have group 0.
+    Without `within` the order is global: rows are dealt out in ranges of it, and each range starts at the originals of the
+    ranges before, whose number is that of Spark's shuffle partitions. Leading continuations have group 0.
     """
-    w = Window.partitionBy(*within).orderBy(*order) if within else Window.partitionBy(F.lit(0)).orderBy(*order)
-    return tables.withColumn("grp", F.sum(F.when(is_continuation, 0).otherwise(1)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    begins = F.when(is_continuation, 0).otherwise(1)
+    upto = lambda *keys: Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    if within:
+        return tables.withColumn("grp", F.sum(begins).over(upto(*within)))
+    ranged = stage(tables.withColumn("_begins", begins).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "ranges")
+    totals = ranged.groupBy("_part").agg(F.sum("_begins").alias("n"))
+    before = F.sum("n").over(Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row a range
+    starts = totals.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    return ranged.join(F.broadcast(starts), "_part").withColumn("grp", F.col("_before") + F.sum("_begins").over(upto("_part"))).select(*tables.columns, "grp")
 
 
 def union_continuations(rows: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:

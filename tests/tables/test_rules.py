@@ -283,3 +283,22 @@ def test_settings(spark, tmp_path):
     assert overlay(defaults, {"match": {"low": 0.4}}, deep=False) == {"a": 1, "match": {"low": 0.4}}
     (tmp_path / "c.json").write_text('{"a": 2,\n "b": [1]}')
     assert read_config(spark, str(tmp_path / "c.json"), defaults) == defaults | {"a": 2, "b": [1]}
+
+
+def test_schema_by_vectors_and_global_groups(spark):
+    from pyspark.sql.types import ArrayType, FloatType
+
+    @F.pandas_udf(ArrayType(FloatType()))
+    def kinds(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [1.0, 0.0] if "people" in t or "population" in t else [0.0, 1.0])
+
+    rows = [("c", 2001, 0, "population"), ("c", 2001, 1, "area"), ("c", 2002, 0, "surface"), ("c", 2002, 1, "number of people")]
+    headers = spark.createDataFrame(rows, "chain_id string, year int, col_index int, name string")
+    got = {(r.year, r.name): (r.final_name, r.match) for r in stack.evolve_schema(headers, model=kinds).collect()}
+    assert got == {(2001, "population"): ("number of people", "new"), (2001, "area"): ("surface", "new"), (2002, "surface"): ("surface", "high"), (2002, "number of people"): ("number of people", "high")}
+    df = spark.range(1000).withColumn("more", F.col("id") % 7 > 0).filter("id > 2").repartition(5)
+    want = {i: sum(1 for k in range(3, i + 1) if k % 7 == 0) for i in range(3, 1000)}
+    assert {r.id: r.grp for r in tables.continuation_groups(df, ("id",), F.col("more")).collect()} == want
+    with pytest.raises(Exception, match="the most is 1"):
+        pairs = spark.createDataFrame([(1, "a", "x", 0.9), (1, "b", "x", 0.8)], "g int, l string, r string, s double")
+        assign.assign_groups(pairs, "g", "l", "r", "s", 0.5, most=1).collect()

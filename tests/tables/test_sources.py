@@ -86,7 +86,7 @@ def test_documents(spark, tmp_path):
     assert [(r.header, r.cells) for r in tables] == [(f"{MARK} 1 about", [["1", "2"]]), (f"{MARK} 2", [["v", "b", "c"], ["v", "e", "f"]]), ("unnamed", [["o", ""]])]
     assert office.table_cells(office.ordered_tables(found)).count() == 10
     assert MARK in office.flat_text(found).first().text
-    books = office.embedded_workbooks(office.documents(spark, str(tmp_path)).filter(~F.col("path").contains("broken")))
+    books = office.embedded_workbooks(office.documents(spark, str(tmp_path)))
     cells = office.workbook_cells(books.select(F.col("member").alias("path"), "content"))
     assert {(r.row_index, r.column_name, r.cell_value) for r in office.join_sheets(cells).collect()} == {(0, "name", "a"), (0, "n", "1"), (1, "n", "2"), (1, "name", "b")}
     reply = 'Sure: [{"table_id": "1", "table_name": "t", "column_names": ["c"], "data": [["1"]]}, {"table_id": "2", "is_continuation": true, "base_table_id": "1", "data": [["2"]]}] done'
@@ -126,3 +126,59 @@ def test_stream_reads_each_file_once(spark, tmp_path):
     (tmp_path / "in/2_1_2021.csv").write_text("c\n")
     go()
     assert sorted(r.cell_value for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+
+
+def test_broken_files_lose_only_themselves(spark):
+    book = xlsx([[0, 1], ["a", "1"]])
+    rels = '<Relationships><Relationship Id="r1" Target="media/image1.png"/></Relationships>'
+    picture = '<w:tbl><w:tr><w:tc>' + para(f"{CHART} of births") + '</w:tc></w:tr><w:tr><w:tc><w:p><a:blip xmlns:a="urn:a" xmlns:r="urn:r" r:embed="r1"/></w:p></w:tc></w:tr></w:tbl>'
+    whole = docx(picture, extra=[("word/embeddings/b.xlsx", book), ("word/_rels/document.xml.rels", rels), ("word/media/image1.png", b"png")])
+    rows = [("good", bytearray(whole)), ("text", bytearray(b"no zip")), ("cut", bytearray(whole[: len(whole) // 2])), ("empty", bytearray(docx())), ("null", None)]
+    docs = spark.createDataFrame(rows, "path string, content binary")
+    assert [(r.path, r.title, r.member, bytes(r.image)) for r in office.chart_images(docs).collect()] == [("good", f"{CHART} of births", "word/media/image1.png", b"png")]
+    books = office.embedded_workbooks(docs)
+    assert [(r.path, r.member) for r in books.collect()] == [("good", "word/embeddings/b.xlsx")]
+    sheets = books.select("path", "content").union(spark.createDataFrame([("x", bytearray(b"PK"))], "path string, content binary"))
+    assert {(r.row_index, r.col_index, r.cell_value) for r in office.workbook_cells(sheets).collect()} == {(0, 0, "name"), (0, 1, "n"), (1, 0, "a"), (1, 1, "1")}
+    assert {r.path for r in office.blocks(docs).collect()} == {"good"}
+
+
+def test_tables_of_the_catalog(spark, tmp_path):
+    (tmp_path / "my file-1.csv").write_text("a,b\n1,x\n2,y\n")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS sinks LOCATION '{tmp_path}/db'")
+    spark.sql("USE sinks")
+    try:
+        assert sinks.csv_to_tables(spark, [str(tmp_path / "my file-1.csv")], "t_") == ["t_my_file_1"]
+        assert [(r.a, r.b) for r in spark.table("t_my_file_1").orderBy("a").collect()] == [(1, "x"), (2, "y")]
+        for _ in range(2):
+            sinks.create_if_absent(spark, "long", "chain_id STRING, v INT, year INT", "year")
+        sinks.append_rows(spark.createDataFrame([(2001, 5, "c")], "year int, v int, chain_id string"), "long")
+        assert [(r.chain_id, r.v, r.year) for r in spark.table("long").collect()] == [("c", 5, 2001)]
+    finally:
+        spark.sql("USE default")
+        spark.sql("DROP DATABASE sinks CASCADE")
+
+
+def test_written_sets_of_tables(spark, tmp_path):
+    merged = spark.createDataFrame([("a", 2001, 0, "n", "1")], "chain_id string, meta_year int, row_index int, column_name string, cell_value string")
+    sinks.write_merged(merged, spark.createDataFrame([("a", True)], "chain_id string, valid boolean"), str(tmp_path / "out"))
+    assert spark.read.parquet(f"{tmp_path}/out/long").count() == 1 and spark.read.json(f"{tmp_path}/out/report").first().valid
+    pairs = spark.createDataFrame([("1", "old"), ("2", "old")], "id string, header string")
+    pairs.write.parquet(str(tmp_path / "x_names"))
+    sinks.upsert_dictionary(spark, spark.createDataFrame([("2", "new"), ("3", "new")], pairs.schema), str(tmp_path / "x_names"), str(tmp_path / "y_names"), ("id",))
+    assert {(r.id, r.header) for r in spark.read.parquet(str(tmp_path / "y_names")).collect()} == {("1", "old"), ("2", "new"), ("3", "new")}
+    both = sinks.union_by_suffix(spark, str(tmp_path), "_names")
+    assert both.count() == 5 and "source_file" in both.columns
+    from gridloom.operators.grid import side_by_side
+
+    left = spark.createDataFrame([("t", 0, 0, "a")], "table_id string, row_index int, col_index int, cell_value string")
+    assert {(r.col_index, r.cell_value) for r in side_by_side(left, left, 3).collect()} == {(0, "a"), (3, "a")}
+
+
+def test_names_and_chains_come_back(spark, tmp_path):
+    names = spark.createDataFrame([("1_2_2015", 'a "b"', 2), ("2_3_2016", "c", 3)], "id string, header string, chapter int")
+    sinks.write_names(names, str(tmp_path / "names"))
+    assert {(r.id, r.header, r.chapter) for r in files.read_dictionary(spark, str(tmp_path / "names")).collect()} == {tuple(r) for r in names.collect()}
+    assert files.read_dictionary(spark, str(tmp_path / "nothing")).count() == 0
+    (tmp_path / "bad.json").write_text("no json")
+    assert files.read_dictionary(spark, str(tmp_path / "bad.json")).count() == 0
