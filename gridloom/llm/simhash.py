@@ -9,8 +9,8 @@ distinct fingerprints can meet at one value. Both ways find every link, so the r
 Equal fingerprints are one node; its documents are never paired. Components are found by alternating large and small
 stars, each round a table in the shared folder.
 
-Defined results. Null, empty and blank text: no words, fingerprint zero, linked like any other. Fewer words than a
-shingle: the whole sequence is the one shingle. Repeated rows: one result each. A row without doc_id gets its
+Defined results. Null, empty and blank text: no words, fingerprint zero, linked like any other. Very long texts: whole, their
+shingles hashed in blocks. Fewer words than a shingle: the whole sequence is the one shingle. Repeated rows: one result each. A row without doc_id gets its
 fingerprint, and the smallest known id of its component or null. Empty table: empty result. Extra columns are dropped.
 """
 

@@ -6,7 +6,8 @@ stems, each with its log odds. Counts behind them are grouped in Spark; at most
 driver. Features are rates, so they do not grow with the text. Every text is scored whole, in one pass.
 
 Defined results. Null and empty text: the features of no words, hence one fixed score. Repeated rows: equal scores.
-Rows without doc_id: scored, and counted as not held out. No labels, or labels of one kind only: score 0 everywhere.
+Rows without doc_id: scored, and counted as not held out. Very long texts: whole, one at a time. Conflicting labels of one
+doc_id: toxic if one says so. No labels, or labels of one kind only: score 0 everywhere.
 Empty table: empty result. Extra columns are dropped.
 """
 
@@ -219,7 +220,7 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityP
     n = known.count()
     share = min(1.0, params.max_train_rows / max(1, n))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    chosen = known.filter(place < int(share * (1 << 20))).dropDuplicates(["doc_id"])
+    chosen = known.filter(place < int(share * (1 << 20))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = F.broadcast(chosen)  # max_train_rows bounds it
     sample = materialize(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(chosen, "doc_id"), "toxicity-sample")
     kinds = {r["toxic"] for r in sample.select("toxic").distinct().collect()}
@@ -260,7 +261,8 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """The rows of docs, with all columns, whose score stays below the threshold."""
+    """The rows of docs, with all columns of any name, whose score stays below the threshold. Null and empty texts have the
+    score of no words; equal rows stay or go together; an empty table stays empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridloom.llm.common import map_batches
+from gridloom.llm.common import MAX_PARTS, map_batches
 
 Rule = tuple[str, str, str]  # action, host, path
 
@@ -137,9 +137,11 @@ def _events(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _EVENT.split(", ")])
 
 
-def _spread(pages: DataFrame, rules: DataFrame, default: str, parts: int) -> DataFrame:
-    """Rules and urls by ranges of the key. The cut points come from a bounded sample; they decide no result."""
+def _spread(pages: DataFrame, rules: DataFrame, default: str, parts: int | None) -> DataFrame:
+    """Rules and urls by ranges of the key, a range for about a million urls. The cut points come from a bounded sample; they
+    decide no result."""
     n = pages.count()
+    parts = parts or min(MAX_PARTS, max(256, n // 1_000_000))
     share = min(1.0, 64 * parts / max(1, n))
     some = pages.filter(F.pmod(F.xxhash64("page_id", "url"), F.lit(1 << 20)) < int(share * (1 << 20))).select("url").limit(256 * parts).collect()
     keys = sorted(host_key(split_url(r["url"])[0]) for r in some)
@@ -185,7 +187,7 @@ def _spread(pages: DataFrame, rules: DataFrame, default: str, parts: int) -> Dat
     return map_batches(both.repartition(parts, "bucket").sortWithinPartitions("bucket", "key", "kind", "path"), run, OUT)
 
 
-def filter_urls(pages: DataFrame, rules: list[Rule] | DataFrame, default: str = "allow", max_local_rules: int = MAX_LOCAL_RULES, parts: int = 256) -> DataFrame:
+def filter_urls(pages: DataFrame, rules: list[Rule] | DataFrame, default: str = "allow", max_local_rules: int = MAX_LOCAL_RULES, parts: int | None = None) -> DataFrame:
     """page_id, host, path, rule and verdict of every row of pages. rules: (action, host, path) rows."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), "url")
     if isinstance(rules, DataFrame):

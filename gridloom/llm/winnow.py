@@ -12,7 +12,7 @@ Neighbours in doc_id order meet by ranges of doc_id: each range also gets the fi
 shuffle of the texts and a window inside each range are enough.
 
 Defined results. Null, empty and blank text: no gram, empty fingerprint; two empty fingerprints have likeness 1, an empty
-and another 0. Fewer words than k: one gram of all. Fewer grams than a window: one window. Equal doc_ids: in order of
+and another 0. Very long texts: whole, one array of hashes a text. Fewer words than k: one gram of all. Fewer grams than a window: one window. Equal doc_ids: in order of
 text. Null doc_id: as the least. A document alone is its own next. Empty table: empty result. Extra columns are dropped.
 """
 

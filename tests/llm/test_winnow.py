@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+import struct
 
+import xxhash
 from pyspark.sql import functions as F
 
 from gridloom.llm.winnow import WinnowParams, add_fingerprint, fingerprint_documents
@@ -39,9 +41,21 @@ def check(spark, rows, params):
         want.append((i, len(text), hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()))
     key = lambda r: (r[0] is None, r[0] or 0, r[1:])
     assert sorted([(r.doc_id, r.n_chars, r.edited_sha256) for r in got], key=key) == sorted(want, key=key)
-    for r in got:
-        assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
-        assert len(r.fingerprint.split()) == len(r.positions)
+    prints = lambda text: [(h & 0xFFFFFFFF, at) for h, at in plain_prints(text, params)]
+    line = lambda ps: " ".join(f"{h:08x}" for h, _ in ps)
+
+    def near(a, b):
+        a, b = {h for h, _ in a}, {h for h, _ in b}
+        return len(a & b) / len(a | b) if a | b else 1.0
+
+    full = []
+    for at, (i, text) in enumerate(order):
+        after = order[(at + 1) % len(order)][1]
+        half = len(text) // 2
+        one, edited, next_ = prints(text), prints(text[: len(text) - half] + after[:half]), prints(after)
+        full.append((i, line(one), line(edited), near(one, edited), near(one, next_), [p for _, p in one]))
+    rows_ = [(r.doc_id, r.fingerprint, r.edited_fingerprint, r.near_edited, r.near_next, r.positions) for r in got]
+    assert sorted(rows_, key=key) == sorted(full, key=key)
     return got
 
 
@@ -73,15 +87,13 @@ def test_positions_are_winnowed(spark):
             for a, b in zip(g, hashes[x.doc_id], strict=True):
                 assert by_gram.setdefault(a, b) == b
         assert len(set(by_gram.values())) == len(by_gram)
-        full = {i: plain_positions_signed(spark, texts[i], params) for i in got}
+        full = {i: [at for _, at in plain_prints(texts[i], params)] for i in got}
         for i, prints in got.items():
             assert [at for _, at in prints] == full[i]
 
 
-def plain_positions_signed(spark, text, params):
-    import struct
-
-    import xxhash
+def plain_prints(text, params):
+    """(signed hash, position) of every kept gram, hashed as the DataFrame functions hash longs and strings."""
 
     def chain(longs):
         seed = 42
@@ -95,7 +107,8 @@ def plain_positions_signed(spark, text, params):
         h = xxhash.xxh64_intdigest(w.encode(), 42)
         return h - (1 << 64) if h >> 63 else h
 
-    return plain_positions([chain([of_word(w) for w in g]) for g in grams(text, params.gram)], params.window)
+    hashes = [chain([of_word(w) for w in g]) for g in grams(text, params.gram)]
+    return [(hashes[at], at) for at in plain_positions(hashes, params.window)]
 
 
 def test_shared_runs_are_found(spark):
