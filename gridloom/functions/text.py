@@ -16,6 +16,7 @@ CONTINUATION = "המשך"
 TABLE_MARK = "לוח"
 YEAR_WORDS = ("ממוצע [0-9]{4}", "סוף [0-9]{4}", "[0-9]{4}")
 SYNONYMS = (("ושיעור", "ואחוז"), (r"(?U)\s+", " "), ("־", "-"))
+WHITE = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 POINTS = "[֑-ׇ]"
 NAME_MARKS = "״\"׳'\\-*()"
 HEBREW = "[֐-׿]"
@@ -23,7 +24,7 @@ HEBREW = "[֐-׿]"
 
 def strip(text: Column) -> Column:
     """Without white space of any kind at both ends."""
-    return F.regexp_replace(F.regexp_replace(text, r"(?U)^\s+", ""), r"(?U)\s+$", "")
+    return F.btrim(text, F.lit(WHITE))
 
 
 def squeeze(text: Column) -> Column:
@@ -31,13 +32,12 @@ def squeeze(text: Column) -> Column:
 
 
 def is_missing(text: Column) -> Column:
-    bare = F.lower(strip(text))
-    return text.isNull() | (bare == "") | bare.isin(*MISSING)
+    return F.coalesce(F.lower(strip(text)).isin("", *MISSING), F.lit(True))
 
 
-def is_numeric(text: Column) -> Column:
+def is_numeric(text: Column, stripped: bool = False) -> Column:
     """Decimals and grouped numbers by their beginning, whole numbers but digits and years, dashes."""
-    bare = strip(text)
+    bare = text if stripped else strip(text)
     whole = F.when(bare.rlike("^[0-9]+$"), F.regexp_replace(bare, "^0+(?=[0-9])", ""))
     ordinary = ~((F.length(whole) == 1) | ((F.length(whole) == 4) & whole.between("1900", "2030")))
     return F.coalesce(bare.rlike(r"^[0-9]+\.[0-9]+") | bare.rlike(r"^[0-9]{1,3}(,[0-9]{3})+") | bare.isin(*DASHES) | F.coalesce(ordinary, F.lit(False)), F.lit(False))

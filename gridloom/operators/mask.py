@@ -27,7 +27,7 @@ def hard_rules(cells: DataFrame, identity: float = 0.8, consistency: float = 0.3
     step = cells.withColumn("_v", value)
     step = step.withColumn("_same", F.count("_v").over(Window.partitionBy(*ROW, "_v"))).withColumn("_n", F.count("_v").over(row))
     alike = (F.col("_n") >= 2) & (F.max(F.when(F.col("_v").isNotNull(), F.col("_same"))).over(row) / F.greatest(F.col("_n"), F.lit(1)) >= identity)
-    step = step.withColumn("mask", F.when(F.col("_v").isNull(), NONE).when(alike, FEATURE).when(X.is_numeric(F.col("_v")), DATA).otherwise(UNDECIDED))
+    step = step.withColumn("mask", F.when(F.col("_v").isNull(), NONE).when(alike, FEATURE).when(X.is_numeric(F.col("_v"), stripped=True), DATA).otherwise(UNDECIDED))
     features, points = (F.count_if(F.col("mask") == k).over(row) for k in (FEATURE, DATA))
     step = step.withColumn("_f", features).withColumn("_d", points)
     share = lambda n: F.col(n) / F.greatest(F.col("_n"), F.lit(1)) >= consistency
