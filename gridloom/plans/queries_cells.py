@@ -257,9 +257,67 @@ def normalize_standard(spark, d):
     return N.standard(masked.drop("mask"), masked)
 
 
-@query(None)
+def varied_cells(spark, d):
+    """Tables of every structure: a third with uneven rows, a third with continuation marks, a third with neither."""
+    from pyspark.sql import Window
+
+    e = read(spark, d, "events").withColumn("k", F.col("user_id") % 3)
+    row = F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")) - 1
+    kind = F.col("event_type")
+    wide = e.select(
+        F.col("user_id").cast("string").alias("table_id"),
+        row.alias("row_index"),
+        kind.alias("c0"),
+        F.when(kind == "view", kind).otherwise(F.get_json_object("props", "$.k")).alias("c1"),
+        F.when((kind != "error") | (F.col("k") > 0), kind).alias("c2"),
+        F.when(kind == "click", F.lit("N/A")).when(F.col("event_id") % 3 == 0, F.lit("--")).when((kind == "error") & (F.col("k") < 2), F.lit("see (המשך)")).otherwise(kind).alias("c3"),
+    )
+    return G.unpivot(wide, ("table_id", "row_index"), ("c0", "c1", "c2", "c3"))
+
+
+VARIED = """wide AS (SELECT CAST(user_id AS VARCHAR) AS table_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY event_id) - 1 AS INTEGER) AS row_index,
+   event_type AS c0, CASE WHEN event_type = 'view' THEN event_type ELSE json_extract_string(props, '$.k') END AS c1, CASE WHEN event_type <> 'error' OR user_id % 3 > 0 THEN event_type END AS c2,
+   CASE WHEN event_type = 'click' THEN 'N/A' WHEN event_id % 3 = 0 THEN '--' WHEN event_type = 'error' AND user_id % 3 < 2 THEN 'see (המשך)' ELSE event_type END AS c3 FROM events),
+cells AS (SELECT table_id, row_index, unnest([0,1,2,3]) AS col_index, unnest([c0,c1,c2,c3]) AS cell_value FROM wide)"""
+
+
+def _shapes(source, name):
+    return f"""{name} AS (SELECT table_id, CASE WHEN uneven THEN 'DISTORTED' WHEN mark THEN 'HAMSHECH' WHEN coalesce(gap, false) THEN 'TABLE_GOES_DOWN' ELSE 'STANDARD' END AS structure
+ FROM (SELECT table_id, count(DISTINCT n) > 1 AS uneven, bool_or(mark) AS mark FROM (SELECT table_id, row_index, count(cell_value) AS n, bool_or(coalesce(contains(cell_value, 'המשך'), false)) AS mark FROM {source} GROUP BY 1, 2) GROUP BY 1)
+ LEFT JOIN (SELECT table_id, bool_or(row_index - prev > 1) AS gap FROM (SELECT *, lag(row_index) OVER (PARTITION BY table_id ORDER BY row_index) AS prev FROM (SELECT DISTINCT table_id, row_index FROM {source} WHERE mask = 'feature')) GROUP BY 1) USING (table_id))"""
+
+
+NORMALIZED = f"""{_shapes('masked', 'kinds')},
+marked AS (SELECT DISTINCT table_id, row_index FROM masked WHERE contains(cell_value, 'המשך')),
+whole AS (SELECT m.table_id, CAST(dense_rank() OVER (PARTITION BY m.table_id ORDER BY m.row_index) - 1 AS INTEGER) AS row_index, col_index, cell_value, mask
+ FROM masked m JOIN kinds USING (table_id) ANTI JOIN (SELECT marked.* FROM marked JOIN kinds USING (table_id) WHERE structure = 'HAMSHECH') g ON m.table_id = g.table_id AND m.row_index = g.row_index),
+{_shapes('whole', 'again')},
+down AS (SELECT table_id FROM again JOIN kinds k USING (table_id) WHERE again.structure = 'TABLE_GOES_DOWN' AND k.structure IN ('TABLE_GOES_DOWN', 'HAMSHECH')),
+a AS (SELECT * FROM whole SEMI JOIN down USING (table_id)), b AS (SELECT * FROM whole ANTI JOIN down USING (table_id)),
+flagged AS (SELECT table_id, row_index, row_index = 0 OR bool_or(mask = 'feature') AS feat FROM a GROUP BY 1, 2),
+batched AS (SELECT *, sum(CAST(begins AS INTEGER)) OVER (PARTITION BY table_id ORDER BY row_index) AS batch FROM (SELECT *, feat AND NOT coalesce(lag(feat) OVER (PARTITION BY table_id ORDER BY row_index), false) AS begins FROM flagged)),
+heads AS (SELECT a.table_id, batch, col_index, coalesce(nullif(string_agg(nullif(trim(cell_value), ''), ' | ' ORDER BY row_index), ''), 'Column_' || col_index) AS name FROM a JOIN batched USING (table_id, row_index) WHERE feat GROUP BY 1, 2, 3),
+shifted AS (SELECT table_id, col_index + (batch - 1) * (max(col_index) OVER (PARTITION BY table_id) + 1) AS col_index, name FROM heads),
+named AS (SELECT table_id, col_index, CASE WHEN k > 1 THEN name || '__' || k ELSE name END AS column_name FROM (SELECT *, row_number() OVER (PARTITION BY table_id, name ORDER BY col_index) AS k FROM shifted)),
+placed AS (SELECT table_id, batch, row_index, row_number() OVER (PARTITION BY table_id, batch ORDER BY row_index) - 1 AS place FROM batched WHERE NOT feat),
+data AS (SELECT a.table_id, place AS row_index, col_index + (batch - 1) * (max(col_index) OVER (PARTITION BY a.table_id) + 1) AS col_index, cell_value FROM a JOIN placed USING (table_id, row_index)),
+{FEATURE_ROWS.replace('masked', 'b')}, plain AS (SELECT b.table_id, col_index, coalesce(nullif(string_agg(nullif(trim(cell_value), ''), ' | ' ORDER BY row_index), ''), 'Column_' || col_index) AS name FROM b JOIN frows USING (table_id, row_index) GROUP BY 1, 2),
+numbered AS (SELECT table_id, col_index, CASE WHEN k > 1 THEN name || '__' || k ELSE name END AS column_name FROM (SELECT *, row_number() OVER (PARTITION BY table_id, name ORDER BY col_index) AS k FROM plain)),
+drows AS (SELECT DISTINCT table_id, row_index FROM b WHERE mask IN ('data-point', 'undecided')),
+done AS (SELECT table_id, row_index, col_index, column_name, cell_value FROM data JOIN named USING (table_id, col_index) UNION ALL SELECT table_id, row_index, col_index, column_name, cell_value FROM b JOIN drows USING (table_id, row_index) JOIN numbered USING (table_id, col_index))
+SELECT table_id, CAST(row_index AS INTEGER) AS row_index, CAST(col_index AS BIGINT) AS col_index, column_name, cell_value FROM done
+UNION ALL SELECT table_id, row_index, col_index, 'Column_' || col_index, cell_value FROM whole WHERE table_id NOT IN (SELECT table_id FROM done)"""
+
+
+@query(f"WITH {VARIED}, {MASK}, {NORMALIZED}")
 def normalize_all(spark, d):
-    return N.normalize(staged_mask(spark, d), F.lit(2020))
+    return N.normalize(stage(M.hard_rules(varied_cells(spark, d)), "masked"), F.lit(2020)).withColumn("col_index", F.col("col_index").cast("long"))
+
+
+@query(f"WITH {VARIED}, {MASK}, {_shapes('masked', 'kinds')} SELECT * FROM kinds")
+def structure_kinds(spark, d):
+    masked = stage(M.hard_rules(varied_cells(spark, d)), "masked")
+    return N.structure(masked, masked)
 
 
 @query(f"""WITH {EVENT_CELLS} SELECT table_id, col_index, CASE WHEN count(cell_value) > 0 AND bool_and(try_cast(cell_value AS DOUBLE) IS NOT NULL) FILTER (WHERE cell_value IS NOT NULL) THEN 'numeric' ELSE 'text' END AS kind FROM cells GROUP BY 1, 2""")
