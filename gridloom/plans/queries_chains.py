@@ -226,7 +226,10 @@ def assign_optimal(spark, d):
     return A.assign_groups(scored(spark, d), "label", "chain", "tab", "similarity", 0.5)
 
 
-@query()
+@query(f"""WITH RECURSIVE {SCORED}, ranked AS (SELECT label, chain, tab, similarity, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, chain, tab) AS r FROM scored WHERE similarity >= 0.5),
+walk AS (SELECT DISTINCT label, CAST(0 AS BIGINT) AS r, CAST([] AS VARCHAR[]) AS used, false AS took FROM ranked
+ UNION ALL SELECT w.label, p.r, CASE WHEN list_contains(used, chain) OR list_contains(used, tab) THEN used ELSE used || [chain, tab] END, NOT (list_contains(used, chain) OR list_contains(used, tab)) FROM walk w JOIN ranked p ON p.label = w.label AND p.r = w.r + 1)
+SELECT label, chain, tab, similarity FROM walk JOIN ranked USING (label, r) WHERE took""")
 def assign_greedy(spark, d):
     return A.assign_groups(scored(spark, d), "label", "chain", "tab", "similarity", 0.5, greedy=True)
 
