@@ -129,7 +129,11 @@ def _more_sql() -> None:
     from gridloom.llm import oracles
 
     ORACLE_SQL["op2_quality_rules"] = oracles.quality_sql()
+    ORACLE_SQL["op5_document_fingerprints"] = oracles.winnow_sql()
+    ORACLE_SQL["op6_simhash_near_dedup"] = oracles.simhash_sql()
     ORACLE_SQL["op7_substring_dedup"] = oracles.SUBSTRINGS
+    ORACLE_SQL["op8_sharding"] = oracles.sharding_sql()
+    ORACLE_SQL["op9_packing"] = oracles.packing_sql()
 
 
 _more_sql()
