@@ -87,3 +87,10 @@ def test_one_row_of_a_group_stays(spark):
     assert sorted((r.doc_id or 0, (r.text or "").lower()) for r in got) == sorted([(1, a), (0, b), (2, c), (5, d), (6, "")])
     assert keep_first(docs).columns == docs.columns
     assert keep_first(docs.limit(0)).count() == 0
+
+
+def test_a_very_long_text(spark):
+    long = " ".join(f"w{i * i % 5003}" for i in range(80_000))
+    rows = [(1, long), (2, long + " tail"), (3, long[: len(long) // 2]), (4, "x" * 500_000)]
+    got = {r.doc_id: (r.fp % (1 << 64), r.component_id) for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == plain_components(rows)

@@ -91,3 +91,20 @@ def test_token_counts_equal_library(spark, tiny, unigram):
     got = {r.doc_id: r.n_tokens for r in token_counts(both, load_vocabulary(PIECES)).collect()}
     assert got == {r.doc_id: whole(unigram, r.text) for r in both.collect()}
     assert token_counts(both.limit(0), load_vocabulary(PIECES)).count() == 0
+
+
+def very_long():
+    words = ["the", "naïve", "Straße", "1234", "unbelievably", "x" * 50, "日本", "a,b;", "\n"]
+    return " ".join(words[(i * i) % 9] + str(i % 997) for i in range(120_000))
+
+
+def test_very_long_texts(spark, library, unigram):
+    rows = [(1, very_long()), (2, "z" * 30_000), (2, "z" * 30_000), (None, "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("keep", F.col("doc_id"))
+    got = sorted((r.doc_id or 0, r.keep or 0, r.n_tokens) for r in token_counts(docs, load_vocabulary(PIECES), keep=("keep",)).collect())
+    assert got == sorted((i or 0, i or 0, whole(unigram, t)) for i, t in rows)
+    want = []
+    for i, t in rows:
+        ids, back = expected(library, t)
+        want.append((i or 0, len(ids.split()), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(back.encode()).hexdigest()))
+    assert sorted((r.doc_id or 0, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in encode_decode(docs, BPE).collect()) == sorted(want)
