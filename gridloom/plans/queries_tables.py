@@ -91,7 +91,8 @@ def text_small_rules(spark, d):
 u AS (SELECT doc_id, text, list_filter(ls, lambda x, i: list_position(ls, x) = i) AS us FROM l)
 SELECT doc_id, CASE WHEN len(us) > 0 THEN array_to_string(us[1:3], ' | ') ELSE substr(text, 1, 200) END AS header FROM u""")
 def representative_header(spark, d):
-    return read(spark, d, "documents").select("doc_id", X.representative_header(F.col("text"), F.lit(None).cast("string")).alias("header"))
+    header = X.representative_header(F.col("text"), F.lit(None).cast("string"))
+    return read(spark, d, "documents").select("doc_id", F.when(F.col("text").isNotNull(), header).alias("header"))
 
 
 @query("""WITH i AS (SELECT o_orderkey, o_custkey % 15 + 1 AS chapter, CAST(1998 + o_custkey % 29 AS INTEGER) AS year, CAST(o_orderkey AS INTEGER) AS serial FROM orders)

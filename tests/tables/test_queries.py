@@ -1,9 +1,11 @@
 import hashlib
 
+import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
 from gridloom.plans import queries_chains as Q
+from gridloom.plans import queries_tables as T
 
 
 def test_merging_takes_all_links(spark, tiny):
@@ -32,3 +34,13 @@ def test_fallback_embeddings_are_whole(spark, tiny):
     for r in rows:
         seed = int(hashlib.md5(r.p_name.encode()).hexdigest()[:8], 16) % 10_000
         assert np.array_equal(np.array(r.embedding, np.float32), np.random.RandomState(seed).randn(768).astype(np.float32))
+
+
+def test_representative_header_follows_its_sql(spark, tmp_path):
+    texts = ["100\nx1\n20\n7", " a \n a　\n\tb\n\r", "0\n1\n0", "0", "", " \n ", None, "one\n\n one\ntwo0\nthree1\nfour2", "x" * 300 + "0"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    docs.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    with duckdb.connect() as c:
+        c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        want = dict(c.execute(T.ORACLE_SQL["representative_header"]).fetchall())
+    assert dict(map(tuple, T.representative_header(spark, str(tmp_path)).collect())) == want
