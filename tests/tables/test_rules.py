@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pandas as pd
@@ -166,6 +167,37 @@ def test_merge_fixpoint(spark):
     assert first == {2001: "a2001", 2002: "a2002", 2003: "b2003"}
 
 
+def test_merge_rounds_write_no_pairs_down():
+    def plain(names, years):
+        """Every pair of a round, sorted."""
+        live = dict(zip(names, years, strict=True))
+        for _ in range(10):
+            pairs = [(p, q, len(live[p] | live[q])) for p, q in itertools.combinations(live, 2)]
+            gains = [(p, q, n - max(len(live[p]), len(live[q])), n / (max(live[p] | live[q]) - min(live[p] | live[q]) + 1)) for p, q, n in pairs]
+            used = set()
+            for p, q, _, _ in sorted((x for x in gains if x[2] > 0), key=lambda x: (-x[2], -x[3])):
+                if not {p, q} & used:
+                    used |= {p, q}
+                    live[f"merged_{p}_{q}"] = live.pop(p) | live.pop(q)
+            if not used:
+                break
+        return list(live)
+
+    r = random.Random(4)
+    for _ in range(20):
+        years = [frozenset(r.sample(range(2000, 2000 + r.choice([4, 12])), r.randint(1, 4))) for _ in range(r.randint(1, 40))]
+        names = [f"c{i:02}" for i in range(len(years))]
+        assert [name for _, name, _ in merge.greedy_rounds(names, years, 10)] == plain(names, years)
+        asked = merge.greedy_rounds(names, years, 10, lambda p, q: True)
+        assert [name for _, name, _ in asked] == plain(names, years)
+    years = [frozenset(y for y in range(1992, 1999) if r.random() < 0.6) for _ in range(30_000)]
+    tracemalloc.start()
+    got = merge.greedy_rounds([str(i) for i in range(30_000)], years, 10)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 100e6 and sorted(m for members, _, _ in got for m in members) == list(range(30_000))  # all pairs are 450 million
+
+
 def test_merge_asks_about_headers_and_keeps_what_belongs_to_a_year(spark):
     head = {"a": "Births\nby region\nBirths", "b": "births by region", "c": "Deaths", "d": None}
     years = {"a": [1950, 2020], "b": [1951, 2020], "c": [2021], "d": [2022]}
