@@ -228,7 +228,7 @@ def merge_report(spark, d):
 
 @query()
 def assign_optimal(spark, d):
-    return A.assign_groups(scored(spark, d), "label", "chain", "tab", "similarity", 0.5)
+    return A.assign_vectors(*two_sides(spark, d), "label", "chain", "tab", "embedding", 0.5)
 
 
 @query(f"""WITH RECURSIVE {SCORED}, ranked AS (SELECT label, chain, tab, similarity, row_number() OVER (PARTITION BY label ORDER BY similarity DESC, chain, tab) AS r FROM scored WHERE similarity >= 0.5),

@@ -373,3 +373,21 @@ def test_greedy_assignment_of_large_groups(spark):
     large = [spark.range(3_200).select(F.lit(1).alias("g"), F.concat(F.lit(x), "id").alias(n), F.array(F.sin("id"), F.cos(F.col("id") * 3), F.sin(F.col("id") * 7)).alias("v")) for x, n in (("c", "chain"), ("t", "tab"))]
     found = assign.assign_vectors(*large, "g", "chain", "tab", "v", 0.5, greedy=True)  # more than assign_groups takes
     assert {(r.chain[1:], r.similarity) for r in found.collect()} == {(str(i), 1.0) for i in range(3_200)}
+
+
+def test_optimal_assignment_of_large_groups(spark):
+    left, right = random_sides(spark, 30, 50)
+    want = assign.assign_groups(all_pairs(left, right), "g", "chain", "tab", "similarity", 0.5)
+    got = assign.assign_vectors(left, right, "g", "chain", "tab", "v", 0.5)
+    assert round(sum(r.similarity for r in got.collect()), 6) == round(sum(r.similarity for r in want.collect()), 6) and got.dtypes == want.dtypes
+    r = np.random.default_rng(3)
+    for n, m, same in ((1, 1, 1), (3, 1, 1), (5, 9, 1), (60, 60, 1), (40, 90, 1), (12, 12, 6), (20, 60, 20)):
+        a, b = (vectors.side(np.tile(r.normal(size=(-(-k // same), 4)), (same, 1))[:k]) for k in (n, m))
+        cost = 1_000_000 - vectors.millionths(a, b)
+        found = assign.best_vectors(a, b)
+        assert sum(s for *_, s in found) == sum(1_000_000 - int(cost[i, j]) for i, j in assign.best_assignment(cost))
+        assert len({i for i, _, _ in found}) == len({j for _, j, _ in found}) == min(n, m) and all(1_000_000 - cost[i, j] == s for i, j, s in found)
+        assert found == assign.best_vectors(a, b, held=0)
+    large = [spark.range(3_200).select(F.lit(1).alias("g"), F.concat(F.lit(x), "id").alias(n), F.array(F.sin("id"), F.cos(F.col("id") * 3), F.sin(F.col("id") * 7)).alias("v")) for x, n in (("c", "chain"), ("t", "tab"))]
+    found = assign.assign_vectors(*large, "g", "chain", "tab", "v", 0.5).collect()  # more than assign_groups takes
+    assert len(found) == 3_200 and all(r.similarity == 1 for r in found)
