@@ -391,3 +391,13 @@ def test_optimal_assignment_of_large_groups(spark):
     large = [spark.range(3_200).select(F.lit(1).alias("g"), F.concat(F.lit(x), "id").alias(n), F.array(F.sin("id"), F.cos(F.col("id") * 3), F.sin(F.col("id") * 7)).alias("v")) for x, n in (("c", "chain"), ("t", "tab"))]
     found = assign.assign_vectors(*large, "g", "chain", "tab", "v", 0.5).collect()  # more than assign_groups takes
     assert len(found) == 3_200 and all(r.similarity == 1 for r in found)
+
+
+def test_many_to_many_shuffles_no_pairs(spark):
+    left, right = random_sides(spark, 90, 70)
+    pairs = all_pairs(left, right)
+    both = similarity.many_to_many(similarity.splits(pairs, "chain", "tab", 0.8), similarity.conflicts(pairs, "chain", "tab", 0.8), "chain", "tab")
+    want = both.select("chain", "shared", F.concat_ws(",", "tables").alias("tables"), F.concat_ws(",", "chains").alias("chains"), "confidence")
+    got = similarity.many_to_many_vectors(left, right, "g", "chain", "tab", "v", 0.8, step=16)
+    assert sorted(got.collect()) == sorted(want.collect()) and got.dtypes == want.dtypes and want.count() > 100
+    assert "Join" not in got._jdf.queryExecution().toString() and similarity.many_to_many_vectors(left.limit(0), right, "g", "chain", "tab", "v", 0.8).count() == 0
