@@ -4,6 +4,7 @@ import duckdb
 import numpy as np
 from pyspark.sql import functions as F
 
+from gridloom.operators import merge as R
 from gridloom.plans import queries_chains as Q
 from gridloom.plans import queries_tables as T
 
@@ -44,3 +45,13 @@ def test_representative_header_follows_its_sql(spark, tmp_path):
         c.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
         want = dict(c.execute(T.ORACLE_SQL["representative_header"]).fetchall())
     assert dict(map(tuple, T.representative_header(spark, str(tmp_path)).collect())) == want
+
+
+def test_merge_report_of_a_large_block(spark):
+    """30,000 chains of one block; its pairs would be 450 million."""
+    years = F.explode(F.filter(F.sequence(F.lit(1992), F.lit(1998)), lambda y: F.pmod(F.hash("id", y), F.lit(5)) < 3))
+    links = spark.range(30_000).select(F.lit(1).alias("chapter_id"), F.col("id").cast("string").alias("chain_id"), years.alias("year"), F.col("id").alias("table_id"))
+    merged = R.merge_all(links).cache()
+    report, before = R.merge_report(links, merged).first(), links.select("chain_id").distinct().count()
+    assert (report.chains_before, report.years_before, report.years_kept) == (before, 7, True) and report.chains_after < 0.6 * before
+    assert merged.select("chain_id", F.explode(F.split("sources", ",")).alias("s")).distinct().agg(F.count("*"), F.countDistinct("s")).first() == (before, before)
